@@ -23,7 +23,7 @@ def status_label(status: Column | str, bad=BAD_STATUSES, good=GOOD_STATUSES) ->
 
 def to_number(c: Column | str) -> Column:
     """Text or number -> DOUBLE; unparsable -> NULL (F6; never raises under ANSI)."""
-    return F.try_cast(_c(c).cast("string"), "double")
+    return _c(c).cast("string").try_cast("double")
 
 
 def positive_flag(c: Column | str) -> Column:

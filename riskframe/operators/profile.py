@@ -160,7 +160,7 @@ def ordinal_levels(df: DataFrame, columns=("grade", "sub_grade")) -> DataFrame:
             .unpivot([], list(columns), "column", "level").filter(F.col("level").isNotNull())
             .distinct())
     letter = F.substring("level", 1, 1)
-    number = F.try_cast(F.expr("substring(level, 2)"), "int")
+    number = F.expr("substring(level, 2)").try_cast("int")
     w = Window.partitionBy("column").orderBy(
         F.when(F.col("column") == "sub_grade", letter).otherwise(F.col("level")),
         F.when(F.col("column") == "sub_grade", number), F.col("level"))
