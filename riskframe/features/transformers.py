@@ -374,4 +374,6 @@ def one_hot_stages(cols: list[str]) -> list:
     return [ModeImputer(inputCols=cols),
             StringIndexer(inputCols=cols, outputCols=idx, stringOrderType="alphabetAsc",
                           handleInvalid="keep"),
-            OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True, handleInvalid="keep")]
+            # The indexer's metadata already lists the unknown slot last; dropLast
+            # removes exactly that slot, so unseen levels encode as all zeros.
+            OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=True, handleInvalid="error")]
