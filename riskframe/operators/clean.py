@@ -76,11 +76,10 @@ def outcome_counts(df: DataFrame, status_col: str = "loan_status", bad=BAD_STATU
 def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Long table (column, missing_count, n_rows) from ONE aggregate over all columns."""
     cols = columns or df.columns
-    wide = df.agg(F.count(F.lit(1)).alias("__n"),
-                  *[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return wide.selectExpr("__n AS n_rows",
-                           f"stack({len(cols)}, {stack}) AS (column, missing_count)")
+    flags = df.select(*[F.col(c).isNull().cast("int").alias(c) for c in cols])
+    long = flags.unpivot([], cols, "column", "is_null")
+    return long.groupBy("column").agg(F.count(F.lit(1)).alias("n_rows"),
+                                      F.sum("is_null").cast("bigint").alias("missing_count"))
 
 
 def missing_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -171,13 +170,11 @@ def impute_plan(df: DataFrame, exclude: list[str] | None = None) -> DataFrame:
 
 def table_info(df: DataFrame) -> DataFrame:
     """(column, dtype, non_null, n_rows): one aggregate, unpivoted."""
-    cols = df.columns
-    wide = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(c)).alias(c) for c in cols])
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    stack = ", ".join(f"'{c}', '{types[c]}', `{c}`" for c in cols)
-    return wide.selectExpr("__n AS n_rows",
-                           f"stack({len(cols)}, {stack}) AS (column, dtype, non_null)") \
-        .select("column", "dtype", "non_null", "n_rows")
+    m = missing_counts(df)
+    dtype = F.create_map(*[F.lit(x) for kv in types.items() for x in kv])
+    return m.select("column", F.try_element_at(dtype, F.col("column")).alias("dtype"),
+                    (F.col("n_rows") - F.col("missing_count")).alias("non_null"), "n_rows")
 
 
 def preview_head(df: DataFrame, n: int = 5, order_by: str = "id") -> DataFrame:

@@ -35,9 +35,10 @@ def safe_corr(a: Column | str, b: Column | str) -> Column:
 
 def corr_target(df: DataFrame, columns: list[str], target: str = "is_bad") -> DataFrame:
     """(column, corr) of each numeric column with the target, descending."""
-    wide = df.agg(*[safe_corr(c, target).alias(c) for c in columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    return (wide.selectExpr(f"stack({len(columns)}, {stack}) AS (column, corr)")
+    from .ordered import unpivot_values
+    base = df.withColumn("__y", F.col(target).cast("double"))
+    long = unpivot_values(base, columns, ["__y"], drop_nulls=False)
+    return (long.groupBy("column").agg(safe_corr("value", "__y").alias("corr"))
             .orderBy(F.col("corr").desc_nulls_last(), F.col("column")))
 
 

@@ -14,6 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordered import DEFAULT_ROWS_PER_BUCKET, cumulative_sums
 
 
@@ -39,10 +40,13 @@ def totals(counts: DataFrame) -> Totals:
 def curve_table(df: DataFrame, label: str = "label", score: str = "score",
                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, Totals]:
     """(score, pos, neg, tp, fp) with tp/fp counted at score >= threshold."""
-    counts = score_counts(df, label, score)
+    # The distinct-score table feeds the totals, the bucket sizing, the cut
+    # points and the running sums: write it once to the shared checkpoint
+    # folder (survives executor loss, no recomputation of the scoring plan).
+    counts = cut_lineage(score_counts(df, label, score))
     tot = totals(counts)
     cum = cumulative_sums(counts, "score", ["pos", "neg"], descending=True,
-                          rows_per_bucket=rows_per_bucket)
+                          rows_per_bucket=rows_per_bucket, n_rows=counts.count())
     return cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"}), tot
 
 

@@ -95,12 +95,19 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols: list[str],
         *[(F.sum(c).over(w) + F.col(f"__o_{c}")).alias(f"cum_{c}") for c in sum_cols])
 
 
-def unpivot_values(df: DataFrame, columns: list[str], group_cols: list[str] | None = None
-                   ) -> DataFrame:
-    """Long ``(group..., column, value double)`` with NULL and NaN values removed."""
+def unpivot_values(df: DataFrame, columns: list[str], group_cols: list[str] | None = None,
+                   drop_nulls: bool = True) -> DataFrame:
+    """Long ``(group..., column, value double)``; NULL and NaN removed unless asked to keep.
+
+    Per-column statistics are computed as ``groupBy(column)`` over this long
+    form: a few aggregate functions in generated code instead of one per
+    column, with map-side partial aggregation (one row per column and task).
+    """
     group_cols = list(group_cols or [])
     casted = df.select(*group_cols, *[F.col(c).cast("double").alias(c) for c in columns])
     long = casted.unpivot(group_cols, columns, "column", "value")
+    if not drop_nulls:
+        return long.withColumn("value", F.when(~F.isnan("value"), F.col("value")))
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
@@ -110,14 +117,28 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     """Exact linear-interpolated quantiles (numpy default, SQL ``quantile_cont``).
 
     Returns ``(group..., column, prob, value)``; NULLs are ignored. Work: one
-    shuffle of distinct values, a bucketed prefix count, and a join against the
-    rank targets (2 per column, group and probability).
+    shuffle of distinct values (persisted: it feeds the bucket sizing, the cut
+    points and the prefix counts), a bucketed prefix count, and a join against
+    the rank targets. The result has groups × columns × probs rows, so it is
+    computed here and handed back as a small local DataFrame.
     """
     group_cols = list(group_cols or [])
     keys = group_cols + ["column"]
     counts = (unpivot_values(df, columns, group_cols)
-              .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt")))
-    cum = cumulative_sums(counts, "value", ["cnt"], keys, rows_per_bucket=rows_per_bucket)
+              .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))).persist()
+    try:
+        res = _quantiles_from_counts(counts, keys, probs, rows_per_bucket)
+        schema = res.schema
+        rows = res.collect()
+    finally:
+        counts.unpersist()
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def _quantiles_from_counts(counts: DataFrame, keys: list[str], probs: list[float],
+                           rows_per_bucket: int) -> DataFrame:
+    cum = cumulative_sums(counts, "value", ["cnt"], keys[:-1] + ["column"],
+                          rows_per_bucket=rows_per_bucket)
     pos = (F.col("n") - 1).cast("double") * F.col("prob")
     targets = (counts.groupBy(*keys).agg(F.sum("cnt").alias("n"))
                .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))

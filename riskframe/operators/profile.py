@@ -43,23 +43,18 @@ def moments(df: DataFrame, columns: list[str]) -> DataFrame:
     Spark's ``skewness``/``kurtosis`` are the population g1/g2; the sample
     versions follow from n. Constant column -> 0; n < 3 (G1) / n < 4 (G2) -> NULL.
     """
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.skewness(x).alias(f"{c}__g1"),
-                 F.kurtosis(x).alias(f"{c}__g2"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', `{c}__n`, `{c}__g1`, `{c}__g2`, `{c}__min`, `{c}__max`"
-                      for c in columns)
-    long = wide.selectExpr(f"stack({len(columns)}, {stack}) AS (column, n, g1, g2, mn, mx)")
+    long = unpivot_values(df, columns, drop_nulls=False)
+    v = F.col("value")
+    st = long.groupBy("column").agg(F.count(v).alias("n"), F.skewness(v).alias("g1"),
+                                    F.kurtosis(v).alias("g2"), F.min(v).alias("mn"),
+                                    F.max(v).alias("mx"))
     n = F.col("n").cast("double")
     const = F.col("mn") == F.col("mx")
     skew = (F.when(F.col("n") < 3, F.lit(None).cast("double")).when(const, F.lit(0.0))
             .otherwise(F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2)))
     kurt = (F.when(F.col("n") < 4, F.lit(None).cast("double")).when(const, F.lit(0.0))
             .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)))
-    return long.select("column", skew.alias("skewness"), kurt.alias("kurtosis"))
+    return st.select("column", skew.alias("skewness"), kurt.alias("kurtosis"))
 
 
 def high_skew(df: DataFrame, columns: list[str], threshold: float = EDA_SKEW_THRESHOLD) -> DataFrame:
@@ -72,12 +67,11 @@ def high_skew(df: DataFrame, columns: list[str], threshold: float = EDA_SKEW_THR
 def skew_partition(df: DataFrame, columns: list[str],
                    threshold: float = PLAN_SKEW_THRESHOLD) -> DataFrame:
     """Population skew g1 (NULLs dropped); |g1| > threshold -> 'skewed' else 'standard' (A8)."""
-    wide = df.agg(*[F.skewness(F.col(c).cast("double")).alias(c) for c in columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    long = wide.selectExpr(f"stack({len(columns)}, {stack}) AS (column, skew)")
+    long = unpivot_values(df, columns, drop_nulls=False)
+    st = long.groupBy("column").agg(F.skewness("value").alias("skew"))
     group = F.when(F.abs("skew") > F.lit(float(threshold)), "skewed").otherwise("standard")
-    return long.select("column", "skew", group.alias("group")).orderBy(F.col("skew").desc_nulls_last(),
-                                                                        F.col("column"))
+    return st.select("column", "skew", group.alias("group")).orderBy(F.col("skew").desc_nulls_last(),
+                                                                    F.col("column"))
 
 
 def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -85,16 +79,10 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Exact quantiles (linear interpolation), unlike ``df.summary()``.
     """
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    stack = ", ".join(f"'{c}', `{c}__n`, `{c}__mean`, `{c}__std`, `{c}__min`, `{c}__max`"
-                      for c in columns)
-    basic = df.agg(*aggs).selectExpr(
-        f"stack({len(columns)}, {stack}) AS (column, count, mean, std, min, max)")
+    v = F.col("value")
+    basic = unpivot_values(df, columns, drop_nulls=False).groupBy("column").agg(
+        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"))
     q = quantiles_wide(df, columns, [0.25, 0.5, 0.75])
     return (basic.join(q, "column", "left")
             .select("column", "count", "mean", "std", "min",
@@ -106,10 +94,9 @@ def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
 def near_zero_variance(df: DataFrame, columns: list[str], threshold: float = NEAR_ZERO_STD
                        ) -> DataFrame:
     """Columns whose sample std is below the threshold (A10)."""
-    wide = df.agg(*[F.stddev_samp(F.col(c).cast("double")).alias(c) for c in columns])
-    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
-    long = wide.selectExpr(f"stack({len(columns)}, {stack}) AS (column, std)")
-    return long.filter(F.col("std") < F.lit(float(threshold))).orderBy("column")
+    st = unpivot_values(df, columns, drop_nulls=False).groupBy("column").agg(
+        F.stddev_samp("value").alias("std"))
+    return st.filter(F.col("std") < F.lit(float(threshold))).orderBy("column")
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
