@@ -114,12 +114,12 @@ def drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(side, value) from ``events``: first half of January 2024 vs the second half."""
     ev = read_table(spark, sf_dir, "events").select("ts", "value")
     ts = F.col("ts")
-    side = (F.when((ts >= F.lit(DRIFT_EXPECTED[0]).cast("timestamp"))
-                   & (ts < F.lit(DRIFT_EXPECTED[1]).cast("timestamp")), "expected")
-            .when((ts >= F.lit(DRIFT_ACTUAL[0]).cast("timestamp"))
-                  & (ts < F.lit(DRIFT_ACTUAL[1]).cast("timestamp")), "actual"))
-    return (ev.filter((ts >= F.lit(DRIFT_EXPECTED[0]).cast("timestamp"))
-                      & (ts < F.lit(DRIFT_ACTUAL[1]).cast("timestamp")))
+    side = (F.when((ts >= F.lit(DRIFT_EXPECTED[0]).cast("timestamp_ntz"))
+                   & (ts < F.lit(DRIFT_EXPECTED[1]).cast("timestamp_ntz")), "expected")
+            .when((ts >= F.lit(DRIFT_ACTUAL[0]).cast("timestamp_ntz"))
+                  & (ts < F.lit(DRIFT_ACTUAL[1]).cast("timestamp_ntz")), "actual"))
+    return (ev.filter((ts >= F.lit(DRIFT_EXPECTED[0]).cast("timestamp_ntz"))
+                      & (ts < F.lit(DRIFT_ACTUAL[1]).cast("timestamp_ntz")))
             .select(side.alias("side"), "value"))
 
 

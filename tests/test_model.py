@@ -54,3 +54,18 @@ def test_transform_preserves_rows(spark, fitted):
     mdl, _ = fitted
     rows = fixture.definitive_loans(spark, SF_SMALL)
     assert mdl.transform(rows).count() == rows.count()
+
+
+def test_stream_scores_equal_batch(spark, fitted, tmp_path):
+    from riskframe.streaming.scoring import application_stream, start_scoring
+    mdl, plan = fitted
+    rows = fixture.definitive_loans(spark, SF_SMALL).filter(F.col("issue_year") >= fixture.SPLIT_YEAR)
+    src = str(tmp_path / "incoming")
+    rows.write.parquet(src)
+    stream = application_stream(spark, src, spark.read.parquet(src).schema)
+    q = start_scoring(Scorer(mdl, plan), stream, str(tmp_path / "scores"), name="t_stream",
+                      checkpoint=str(tmp_path / "ckpt"))
+    q.awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "scores")).collect())
+    exp = sorted(tuple(r) for r in Scorer(mdl, plan).score(spark.read.parquet(src)).collect())
+    assert got == exp and len(got) == rows.count()
