@@ -762,7 +762,27 @@ def _train_test(spark, sf):
     return profile.split_frames(_model_frame(spark, sf), SPLIT_YEAR)
 
 
-@register("feature_plan")
+# Post-engineering columns of the fixture's X in order, with their kind:
+# orig = original numeric (routed by skew), new = engineered numeric (standard).
+_PLAN_CANDIDATES = ([(c, "orig") for c in ["loan_amnt", "int_rate", "annual_inc", "revol_util", "open_acc"]]
+                    + [(c, "new") for c in ["emp_length_num", "credit_hist_years", "pub_rec_binary",
+                                            "mort_acc_binary", "pub_rec_bankruptcies_binary"]]
+                    + [("grade", "ord"), ("sub_grade", "ord")]
+                    + [(c, "ohe") for c in ["term", "home_ownership", "addr_state"]])
+_SKEW_SQL = _union([
+    f"SELECT '{c}' AS column, CASE WHEN count({c}) < 3 OR min({c}) = max({c}) THEN NULL "
+    f"ELSE skewness({_d(c)}) * (count({c}) - 2) / sqrt(count({c}) * (count({c}) - 1)::DOUBLE) END AS skew "
+    f"FROM definitive WHERE issue_year < {SPLIT_YEAR}" for c, k in _PLAN_CANDIDATES if k == "orig"])
+
+
+@register("feature_plan", duckdb_with("definitive") + f"""
+, cand AS (SELECT * FROM (VALUES {", ".join(f"('{c}', {i}, '{k}')" for i, (c, k) in enumerate(_PLAN_CANDIDATES))}) t(column, base, kind)),
+sk AS ({_SKEW_SQL}),
+g AS (SELECT c.column, c.base, CASE c.kind WHEN 'orig' THEN CASE WHEN abs(s.skew) > 0.75::DOUBLE THEN 'skewed' ELSE 'standard' END
+        WHEN 'new' THEN 'standard' WHEN 'ord' THEN 'ordinal' ELSE 'one_hot' END AS grp
+      FROM cand c LEFT JOIN sk s ON s.column = c.column)
+SELECT column, grp AS "group", CAST(row_number() OVER (ORDER BY CASE grp WHEN 'skewed' THEN 0 WHEN 'standard' THEN 1
+  WHEN 'ordinal' THEN 2 ELSE 3 END, base) - 1 AS INTEGER) AS position FROM g""")
 def q_feature_plan(spark, sf):
     from ..plans.feature_plan import fit_plan, plan_frame
     train, _ = _train_test(spark, sf)
