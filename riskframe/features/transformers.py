@@ -178,13 +178,18 @@ def fit_medians(df: DataFrame, cols: list[str]) -> list[float]:
 
 
 def _moments_after(df: DataFrame, exprs: dict) -> tuple[list[float], list[float]]:
+    """Mean and population std of each expression, as one long-form grouped aggregate."""
+    from ..operators.ordered import unpivot_values
     cols = list(exprs)
     if not cols:
         return [], []
-    r = df.agg(*[F.avg(e).alias(f"m{i}") for i, e in enumerate(exprs.values())],
-               *[F.stddev_pop(e).alias(f"s{i}") for i, e in enumerate(exprs.values())]).first()
-    return ([_nan_to_zero(r[f"m{i}"]) for i in range(len(cols))],
-            [_nan_to_zero(r[f"s{i}"]) for i in range(len(cols))])
+    names = [f"__e{i}" for i in range(len(cols))]
+    long = unpivot_values(df.select(*[e.alias(n) for n, e in zip(names, exprs.values())]), names,
+                          drop_nulls=False)
+    got = {r["column"]: r for r in long.groupBy("column").agg(
+        F.avg("value").alias("m"), F.stddev_pop("value").alias("s")).collect()}
+    return ([_nan_to_zero(got[n]["m"]) if n in got else 0.0 for n in names],
+            [_nan_to_zero(got[n]["s"]) if n in got else 0.0 for n in names])
 
 
 class StandardNumericScaler(Estimator, _ColsParams, _Stage):
@@ -236,27 +241,33 @@ def fit_yeo_johnson_lambdas(df: DataFrame, cols: list[str], bracket=YJ_BRACKET,
 
 
 def _search_lambdas(df: DataFrame, cols: list[str], bracket, grid: int, passes: int) -> list[float]:
-    x = {c: F.col(c) for c in cols}
-    base = df.agg(*[F.count(x[c]).alias(f"n{i}") for i, c in enumerate(cols)],
-                  *[F.sum(F.signum(x[c]) * F.log1p(F.abs(x[c]))).alias(f"t{i}")
-                    for i, c in enumerate(cols)]).first()
-    n = [int(base[f"n{i}"] or 0) for i in range(len(cols))]
-    t = [_nan_to_zero(base[f"t{i}"]) for i in range(len(cols))]
+    from ..operators.ordered import unpivot_values
+    # Long form (column, value): each pass is ONE grouped aggregate with `grid`
+    # variances, whatever the number of columns; each column's grid enters as a
+    # literal map from column name to λ.
+    long = unpivot_values(df, cols)
+    x = F.col("value")
+    base = {r["column"]: r for r in long.groupBy("column").agg(
+        F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("t")).collect()}
+    n = [int(base[c]["n"]) if c in base else 0 for c in cols]
+    t = [_nan_to_zero(base[c]["t"]) if c in base else 0.0 for c in cols]
     lo = [bracket[0]] * len(cols)
     hi = [bracket[1]] * len(cols)
     best = [1.0] * len(cols)
     for _ in range(passes):
         lams = [[lo[i] + (hi[i] - lo[i]) * k / (grid - 1) for k in range(grid)]
                 for i in range(len(cols))]
-        aggs = [F.var_pop(yeo_johnson(x[c], lams[i][k])).alias(f"v{i}_{k}")
-                for i, c in enumerate(cols) for k in range(grid)]
-        r = df.agg(*aggs).first()
-        for i in range(len(cols)):
-            if n[i] < 2:
+        lam_col = [F.element_at(F.create_map(*[F.lit(v) for i, c in enumerate(cols)
+                                               for v in (c, lams[i][k])]), F.col("column"))
+                   for k in range(grid)]
+        r = {row["column"]: row for row in long.groupBy("column").agg(
+            *[F.var_pop(yeo_johnson(x, lam_col[k])).alias(f"v{k}") for k in range(grid)]).collect()}
+        for i, c in enumerate(cols):
+            if n[i] < 2 or c not in r:
                 continue
             scores = []
             for k in range(grid):
-                v = r[f"v{i}_{k}"]
+                v = r[c][f"v{k}"]
                 ok = v is not None and not math.isnan(v) and not math.isinf(v) and v > 0
                 ll = (-n[i] / 2.0 * math.log(v) + (lams[i][k] - 1.0) * t[i]) if ok else -math.inf
                 scores.append(ll)

@@ -48,19 +48,22 @@ def safe_div(a: Column, b: Column) -> Column:
     return F.try_divide(a, b)
 
 
-def yeo_johnson(c: Column | str, lmbda: float) -> Column:
-    """Forward Yeo-Johnson map for a fixed lambda."""
+def yeo_johnson(c: Column | str, lmbda: float | Column) -> Column:
+    """Forward Yeo-Johnson map (F10); ``lmbda`` is a number or a per-row Column."""
     x = _c(c).cast("double")
-    lam = float(lmbda)
-    eps = 1e-12
-    if abs(lam) < eps:
-        pos = F.log1p(x)
-    else:
-        pos = (F.pow(x + F.lit(1.0), F.lit(lam)) - F.lit(1.0)) / F.lit(lam)
-    if abs(lam - 2.0) < eps:
-        neg = -F.log1p(-x)
-    else:
-        neg = -(F.pow(F.lit(1.0) - x, F.lit(2.0 - lam)) - F.lit(1.0)) / F.lit(2.0 - lam)
+    if not isinstance(lmbda, Column):
+        lam = float(lmbda)
+        eps = 1e-12
+        pos = F.log1p(x) if abs(lam) < eps else \
+            (F.pow(x + F.lit(1.0), F.lit(lam)) - F.lit(1.0)) / F.lit(lam)
+        neg = -F.log1p(-x) if abs(lam - 2.0) < eps else \
+            -(F.pow(F.lit(1.0) - x, F.lit(2.0 - lam)) - F.lit(1.0)) / F.lit(2.0 - lam)
+        return F.when(x >= 0, pos).otherwise(neg)
+    lam = lmbda.cast("double")
+    pos = F.when(F.abs(lam) < 1e-12, F.log1p(x)).otherwise(
+        (F.pow(x + F.lit(1.0), lam) - F.lit(1.0)) / lam)
+    neg = F.when(F.abs(lam - F.lit(2.0)) < 1e-12, -F.log1p(-x)).otherwise(
+        -(F.pow(F.lit(1.0) - x, F.lit(2.0) - lam) - F.lit(1.0)) / (F.lit(2.0) - lam))
     return F.when(x >= 0, pos).otherwise(neg)
 
 

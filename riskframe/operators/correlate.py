@@ -73,12 +73,11 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     k = len(columns)
     # Shift by the column mean (by the exact value for a constant column, so its
     # centred values are exactly 0 and its correlations come out undefined).
-    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(columns)],
-                   *[F.min(F.col(c).cast("double")).alias(f"a{i}") for i, c in enumerate(columns)],
-                   *[F.max(F.col(c).cast("double")).alias(f"b{i}") for i, c in enumerate(columns)]
-                   ).first()
-    shift = np.array([(stats[f"a{i}"] if stats[f"a{i}"] == stats[f"b{i}"] else stats[f"m{i}"]) or 0.0
-                      for i in range(k)], dtype=float)
+    from .ordered import unpivot_values
+    st = {r["column"]: r for r in unpivot_values(df, columns).groupBy("column").agg(
+        F.avg("value").alias("m"), F.min("value").alias("a"), F.max("value").alias("b")).collect()}
+    shift = np.array([((st[c]["a"] if st[c]["a"] == st[c]["b"] else st[c]["m"]) if c in st else 0.0)
+                      for c in columns], dtype=float)
     src = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     parts = src.mapInPandas(_gram_partition(columns, shift),
                             "i int, j int, n double, sx double, sxx double, sxy double")

@@ -95,8 +95,8 @@ def fit_plan(train: DataFrame, use_issue_date: bool = True,
     orig_numeric = [c for c in x_cols if kinds.get(c) == "numeric"]
     skew: dict = {}
     if orig_numeric:
-        r = train.agg(*[F.skewness(F.col(c).cast("double")).alias(c) for c in orig_numeric]).first()
-        skew = {c: r[c] for c in orig_numeric}
+        from ..operators.profile import skew_partition
+        skew = {r["column"]: r["skew"] for r in skew_partition(train, orig_numeric).collect()}
     binary = {f"{c}_binary" for c in COUNT_BINARY_COLUMNS}
     plan.skewed = [c for c in numeric if c not in binary and skew.get(c) is not None
                    and abs(skew[c]) > skew_threshold]
