@@ -90,7 +90,12 @@ class CreditHistoryCalculator(Transformer, _Stage):
             return F.col(c).cast("date") if t in ("date", "timestamp", "timestamp_ntz") \
                 else parse_month(c, fmts)
 
-        return df.withColumn(out, history_years(as_date(a), as_date(b))).drop(a, b)
+        issue, earliest = as_date(a), as_date(b)
+        if any("yyyy" not in f and "yy" in f for f in fmts):
+            # Two-digit years pivot into 2000-2099: a first credit line dated after
+            # the issue date belongs to the previous century (Feb-88 -> 1988).
+            earliest = F.when(earliest > issue, F.add_months(earliest, -1200)).otherwise(earliest)
+        return df.withColumn(out, history_years(issue, earliest)).drop(a, b)
 
 
 class CountBinarizer(Transformer, _Stage):

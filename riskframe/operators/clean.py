@@ -48,6 +48,23 @@ def date_parse_report(df: DataFrame, columns=DATE_COLUMNS) -> DateParseReport:
                            [c for c in columns if c not in df.columns])
 
 
+def date_parse_counts(df: DataFrame, columns=DATE_COLUMNS, formats=(MONTH_YEAR,)) -> DataFrame:
+    """(column, n_text, n_parsed, n_failed) per present date column of the raw frame.
+
+    One long-form aggregate: text that is present but does not parse counts as failed.
+    """
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame(
+            [], "column string, n_text bigint, n_parsed bigint, n_failed bigint")
+    long = (df.select(*[F.col(c).cast("string").alias(c) for c in present])
+            .unpivot([], present, "column", "text"))
+    parsed = parse_month(F.col("text"), tuple(formats))
+    return (long.groupBy("column")
+            .agg(F.count("text").alias("n_text"), F.count(parsed).alias("n_parsed"))
+            .withColumn("n_failed", F.col("n_text") - F.col("n_parsed")))
+
+
 def label_loans(df: DataFrame, status_col: str = "loan_status", bad=BAD_STATUSES,
                 good=GOOD_STATUSES) -> DataFrame:
     """Attach ``is_bad``: 1 bad, 0 good, -1 otherwise."""

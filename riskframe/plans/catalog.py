@@ -124,6 +124,15 @@ def q_parse_dates(spark, sf):
         "id", "issue_d", "earliest_cr_line", "issue_year", "issue_month_yr")
 
 
+@register("date_parse_report", duckdb_with("loans") + _union([
+    f"SELECT '{c}' AS column, count({c}) AS n_text, "
+    f"count(CASE WHEN regexp_matches({c}, '^[A-Za-z]{{3}}-[0-9]{{4}}$') THEN try_strptime({c}, '%b-%Y') END) AS n_parsed, "
+    f"count({c}) - count(CASE WHEN regexp_matches({c}, '^[A-Za-z]{{3}}-[0-9]{{4}}$') THEN try_strptime({c}, '%b-%Y') END) AS n_failed "
+    f"FROM loans" for c in ["issue_d", "earliest_cr_line"]]))
+def q_date_parse_report(spark, sf):
+    return clean.date_parse_counts(_loans(spark, sf))
+
+
 @register("issue_period", duckdb_with("definitive") + """
 SELECT issue_year, issue_month_yr, count(*) AS n_loans FROM definitive
 WHERE issue_year IS NOT NULL GROUP BY issue_year, issue_month_yr""")

@@ -292,3 +292,20 @@ def test_box_whiskers_are_data_points(spark):
     df = spark.createDataFrame([(0, v) for v in vals], "is_bad int, x double")
     r = box_stats(df, ["x"]).first()
     assert r["whisker_hi"] == 5.0 and r["n_outliers"] == 1 and r["whisker_lo"] == 1.0
+
+
+def test_two_digit_years_with_century_fix(spark):
+    df = spark.createDataFrame([("Dec-15", "Aug-03"), ("Dec-15", "Feb-88")],
+                               "issue_d string, earliest_cr_line string")
+    strict = [r[0] for r in X.CreditHistoryCalculator().transform(df).collect()]
+    assert strict == [0.0, 0.0]      # strict MMM-yyyy: both unparsable -> 0
+    loose = X.CreditHistoryCalculator(dateFormats=["MMM-yyyy", "MMM-yy"]).transform(df)
+    got = [r[0] for r in loose.collect()]
+    assert got[0] == pytest.approx((4505) / 365.25)     # 2003-08-01 .. 2015-12-01
+    assert got[1] == pytest.approx(10165 / 365.25)      # 1988-02-01 .. 2015-12-01
+
+
+def test_date_parse_counts(spark):
+    df = spark.createDataFrame([("Dec-2015", "bad"), ("Jan-2016", None)], "issue_d string, earliest_cr_line string")
+    got = {r["column"]: (r["n_text"], r["n_parsed"], r["n_failed"]) for r in clean.date_parse_counts(df).collect()}
+    assert got == {"issue_d": (2, 2, 0), "earliest_cr_line": (1, 0, 1)}
