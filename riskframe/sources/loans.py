@@ -18,7 +18,22 @@ from ..schema import raw_schema
 
 def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
                    repartition: int | None = None) -> DataFrame:
-    """Scan loan CSV(s) with a header and the declared schema."""
+    """Scan loan CSV(s) with a header and the declared schema.
+
+    A missing path raises ``FileNotFoundError`` naming it (the caller decides
+    whether to continue without a frame).
+    """
+    from pyspark.errors import AnalysisException
+    try:
+        return _read_csv(spark, path, schema, repartition)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            raise FileNotFoundError(f"loan file not found: {path}") from e
+        raise
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None,
+              repartition: int | None) -> DataFrame:
     df = (spark.read.schema(schema or raw_schema()).option("header", True)
           .option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", False)
           .option("ignoreTrailingWhiteSpace", False).option("nanValue", "NaN")

@@ -69,3 +69,14 @@ def test_stream_scores_equal_batch(spark, fitted, tmp_path):
     got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "scores")).collect())
     exp = sorted(tuple(r) for r in Scorer(mdl, plan).score(spark.read.parquet(src)).collect())
     assert got == exp and len(got) == rows.count()
+
+
+def test_shuffled_label_is_not_learned(spark):
+    """A label independent of the features gives a test AUC near 0.5 (sf0.01)."""
+    d = clean.drop_leakage(fixture.definitive_loans(spark, SF_MID))
+    d = d.withColumn("is_bad", (F.abs(F.xxhash64(F.col("loan_amnt"), F.lit(7))) % 2).cast("int"))
+    train, test = profile.split_frames(d, fixture.SPLIT_YEAR)
+    mdl, _ = M.fit_pipeline(train, M.baseline_booster(max_iter=8))
+    s = M.predict_proba(mdl, test, keep=["is_bad"]).select(
+        F.col("is_bad").alias("label"), F.col("probability").alias("score"))
+    assert abs(evaluate.curve_metrics(s).first()["roc_auc"] - 0.5) < 0.06

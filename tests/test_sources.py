@@ -24,3 +24,10 @@ def test_records_absent_keys_null(spark):
     assert df.schema == raw_schema()
     rows = df.collect()
     assert rows[0]["loan_amnt"] == 1000.0 and rows[1]["loan_amnt"] is None and rows[1]["grade"] == "B"
+
+
+def test_missing_csv_reports_path(spark, tmp_path):
+    import pytest
+    with pytest.raises(FileNotFoundError) as e:
+        read_loans_csv(spark, str(tmp_path / "nope.csv"))
+    assert "nope.csv" in str(e.value)
