@@ -76,6 +76,12 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols: list[str],
     group_cols = list(group_cols or [])
     n = df.count() if n_rows is None else n_rows
     nb = _bucket_count(n, rows_per_bucket, max_buckets)
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    if nb == 1:
+        # All distinct rows fit one bucket (≤ rows_per_bucket in total): no offsets.
+        part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+        w1 = part.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(*df.columns, *[F.sum(c).over(w1).alias(f"cum_{c}") for c in sum_cols])
     b = add_buckets(df, order_col, nb)
     if descending:
         b = b.withColumn("__bucket", -F.col("__bucket"))
@@ -88,7 +94,6 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols: list[str],
     offsets = totals.select(*keys, *[F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0))
                                      .alias(f"__o_{c}") for c in sum_cols])
     with_off = b.join(offsets, keys, "inner")
-    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return with_off.select(
         *df.columns,

@@ -44,12 +44,28 @@ def r6(expr: str) -> str:
 
 
 # --- frames shared by the queries ---------------------------------------------
+# Plans (not data) are memoised per session and folder: a DataFrame is an
+# immutable plan, so queries share its construction and analysis; every action
+# still scans the parquet tables.
+_PLANS: dict = {}
+
+
+def _memo(kind: str, spark, sf, build):
+    key = (kind, id(spark), sf)
+    hit = _PLANS.get(key)
+    if hit is None or hit.sparkSession is not spark:
+        hit = _PLANS[key] = build(spark, sf)
+    return hit
+
+
 def _loans(spark, sf):
-    return fixture.loans(spark, sf)
+    return _memo("loans", spark, sf, fixture.loans)
 
 
 def _definitive(spark, sf):
-    return fixture.definitive_loans(spark, sf)
+    from ..operators.clean import definitive_outcomes, label_loans, parse_dates
+    return _memo("definitive", spark, sf,
+                 lambda s, d: parse_dates(definitive_outcomes(label_loans(_loans(s, d)))))
 
 
 def _model_frame(spark, sf):

@@ -23,7 +23,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if event_log_dir:
         b = (b.config("spark.eventLog.enabled", "true")
-             .config("spark.eventLog.dir", event_log_dir))
+             .config("spark.eventLog.dir", event_log_dir)
+             .config("spark.eventLog.compress", "false")
+             .config("spark.eventLog.rolling.enabled", "false"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
