@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import pct_name, quantiles_wide, unpivot_values
+from .ordered import bounded_broadcast, pct_name, quantiles_wide, unpivot_values
 
 KDE_GRID_POINTS = 200
 KDE_FINE_BINS = 1024
@@ -43,7 +43,7 @@ def histogram(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, bin, lower, upper, count) incl. empty bins; the last bin is closed."""
     edges = histogram_edges(df, columns)
     long = unpivot_values(df, columns)
-    j = long.join(edges, "column")   # edges: one row per column
+    j = long.join(bounded_broadcast(edges, len(columns)), "column")   # one row per column
     b = F.least(F.floor((F.col("value") - F.col("lo")) * F.col("n_bins")
                         / (F.col("hi") - F.col("lo"))).cast("int"), F.col("n_bins") - 1)
     counts = j.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -72,9 +72,11 @@ def kde_curve(df: DataFrame, columns: list[str], grid_points: int = KDE_GRID_POI
                                     F.max("value").alias("mx"),
                                     F.stddev_samp("value").alias("sd"))
     st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    fb = F.least(F.floor((F.col("value") - F.col("mn")) * F.lit(float(fine_bins))
-                         / (F.col("mx") - F.col("mn"))).cast("int"), F.lit(fine_bins - 1))
-    fine = (long.join(st.select("column", "mn", "mx"), "column")
+    # try_divide: a constant column (max = min) has no density (h = 0) and must not
+    # raise under ANSI while it is binned.
+    fb = F.least(F.floor(F.try_divide((F.col("value") - F.col("mn")) * F.lit(float(fine_bins)),
+                                      F.col("mx") - F.col("mn"))).cast("int"), F.lit(fine_bins - 1))
+    fine = (long.join(bounded_broadcast(st.select("column", "mn", "mx"), len(columns)), "column")
             .groupBy("column", F.coalesce(fb, F.lit(0)).alias("fb"))
             .agg(F.count(F.lit(1)).alias("cnt")))
     fine = fine.join(st, "column").filter(F.col("h") > 0)

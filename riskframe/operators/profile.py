@@ -214,5 +214,3 @@ def no_skill(df: DataFrame, label: str = "label") -> DataFrame:
     """Label mean: the precision of a random classifier."""
     return df.agg(F.avg(F.col(label).cast("double")).alias("no_skill"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["unpivot_values"]

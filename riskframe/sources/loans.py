@@ -9,7 +9,6 @@ Parquet once (``to_parquet``) so later scans prune columns and split.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import nan_to_null
@@ -79,6 +78,3 @@ def to_parquet(df: DataFrame, path: str, partition_by: str | None = "issue_year"
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
-
-__all__ = ["read_loans_csv", "records_to_table", "to_parquet", "scan_parquet", "to_null_markers",
-           "F"]

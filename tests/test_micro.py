@@ -309,3 +309,13 @@ def test_date_parse_counts(spark):
     df = spark.createDataFrame([("Dec-2015", "bad"), ("Jan-2016", None)], "issue_d string, earliest_cr_line string")
     got = {r["column"]: (r["n_text"], r["n_parsed"], r["n_failed"]) for r in clean.date_parse_counts(df).collect()}
     assert got == {"issue_d": (2, 2, 0), "earliest_cr_line": (1, 0, 1)}
+
+
+def test_kde_constant_column_is_empty_not_error(spark):
+    from riskframe.operators.distribution import kde_curve
+    df = spark.createDataFrame([(1.0, float(i)) for i in range(20)], "k double, x double")
+    rows = kde_curve(df, ["k", "x"]).collect()
+    assert {r["column"] for r in rows} == {"x"} and len(rows) == 200
+    # density integrates to about 1 over the data range for a wide sample
+    step = rows[1]["x"] - rows[0]["x"]
+    assert 0.8 < sum(r["density"] for r in rows) * step < 1.05
