@@ -38,3 +38,14 @@ def test_quantile_pick_is_a_hash_join(spark):
     q = ordered._quantiles_from_counts(counts, ["column"], [0.5], 100)
     plan = _plan(q)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_time_split_prunes_year_partitions(spark, tmp_path):
+    from riskframe.operators import profile
+    from riskframe.sources.loans import scan_parquet, to_parquet
+    path = str(tmp_path / "loans_by_year")
+    to_parquet(fixture.definitive_loans(spark, SF_SMALL), path)
+    train, test = profile.split_frames(scan_parquet(spark, path), fixture.SPLIT_YEAR)
+    plan = _plan(train)
+    assert "PartitionFilters: [isnotnull(issue_year" in plan and "issue_year#" in plan
+    assert train.count() + test.count() == fixture.definitive_loans(spark, SF_SMALL).count()
