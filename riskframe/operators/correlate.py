@@ -10,15 +10,21 @@ and never an ANSI divide-by-zero error.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import HIGH_CORR_THRESHOLD
 
+# The Gram partial runs in executor Python workers: ship this module's code with
+# the task (by value) so executors need numpy/pandas but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def safe_corr(a: Column | str, b: Column | str) -> Column:
     """Pairwise-complete Pearson r; NULL when either side is constant over the pairs."""
