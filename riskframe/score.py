@@ -55,9 +55,17 @@ class Scorer:
         if missing:
             raise MissingFeatures(f"missing raw feature columns: {missing}")
 
-    def score(self, df: DataFrame, threshold: float = 0.5, keep: list[str] | None = None
-              ) -> DataFrame:
-        """Input id columns + probability + prediction."""
+    def score(self, df, threshold: float = 0.5, keep: list[str] | None = None) -> DataFrame:
+        """Input id columns + probability + prediction.
+
+        ``df`` is a DataFrame (batch or streaming) or a list of raw application
+        dicts (typed with the raw schema; absent keys become NULL).
+        """
+        if isinstance(df, list):
+            from .sources.loans import records_to_table
+            df = records_to_table(SparkSession.getActiveSession(), df)
+        elif not isinstance(df, DataFrame):
+            raise TypeError("input must be a DataFrame or a list of dicts")
         self.check(df)
         keep = keep if keep is not None else [c for c in ("id",) if c in df.columns]
         return predict(self.model, df, threshold, keep)

@@ -80,3 +80,16 @@ def test_shuffled_label_is_not_learned(spark):
     s = M.predict_proba(mdl, test, keep=["is_bad"]).select(
         F.col("is_bad").alias("label"), F.col("probability").alias("score"))
     assert abs(evaluate.curve_metrics(s).first()["roc_auc"] - 0.5) < 0.06
+
+
+def test_score_records_equal_frame(spark, fitted):
+    mdl, plan = fitted
+    raw = fixture.loans(spark, SF_SMALL).orderBy("id").limit(5)
+    records = [{k: (str(v) if v is not None else None) for k, v in r.asDict().items()}
+               for r in raw.collect()]
+    sc = Scorer(mdl, plan)
+    from_records = sorted(tuple(r) for r in sc.score(records).collect())
+    from_frame = sorted(tuple(r) for r in sc.score(raw).collect())
+    assert [r[1:] for r in from_records] == [r[1:] for r in from_frame]
+    with pytest.raises(TypeError):
+        sc.score("not a frame")
