@@ -122,9 +122,10 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     """Exact linear-interpolated quantiles (numpy default, SQL ``quantile_cont``).
 
     Returns ``(group..., column, prob, value)``; NULLs are ignored. Work: one
-    shuffle of distinct values (persisted: it feeds the bucket sizing, the cut
-    points and the prefix counts), a bucketed prefix count, and a join against
-    the rank targets. The result has groups × columns × probs rows, so it is
+    shuffle of distinct values (persisted). If that table has at most
+    ``rows_per_bucket`` rows, one frequency-weighted ``percentile`` aggregate
+    finishes the job; otherwise a bucketed prefix count and a join against the
+    rank targets do. The result has groups × columns × probs rows, so it is
     computed here and handed back as a small local DataFrame.
     """
     group_cols = list(group_cols or [])
@@ -132,7 +133,18 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
     counts = (unpivot_values(df, columns, group_cols)
               .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))).persist()
     try:
-        res = _quantiles_from_counts(counts, keys, probs, rows_per_bucket)
+        n_distinct = counts.count()
+        if n_distinct <= rows_per_bucket:
+            # Every group holds at most rows_per_bucket distinct values: the
+            # frequency-weighted ``percentile`` (same interpolation) is bounded and
+            # exact, and needs a single aggregate.
+            res = (counts.groupBy(*keys)
+                   .agg(F.percentile("value", [float(p) for p in probs], F.col("cnt")).alias("qs"))
+                   .select(*keys, F.posexplode("qs").alias("i", "value"))
+                   .select(*keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]),
+                                               F.col("i") + 1).alias("prob"), "value"))
+        else:
+            res = _quantiles_from_counts(counts, keys, probs, rows_per_bucket)
         schema = res.schema
         rows = res.collect()
     finally:
