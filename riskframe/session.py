@@ -8,6 +8,15 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _driver_memory(cap_mb: int = 8192) -> str:
+    """About 60 % of physical memory, at most ``cap_mb`` (local mode: the driver is the executor)."""
+    try:
+        total_mb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") // (1024 * 1024)
+    except (ValueError, OSError, AttributeError):
+        return f"{cap_mb}m"
+    return f"{max(1024, min(cap_mb, int(total_mb * 0.6)))}m"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "riskframe", event_log_dir: str | None = None) -> SparkSession:
     """Session for tests and the bench: UTC, AQE on, UI off."""
@@ -19,7 +28,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "8g")
+         .config("spark.driver.memory", _driver_memory())
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if event_log_dir:
         b = (b.config("spark.eventLog.enabled", "true")
