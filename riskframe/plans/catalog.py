@@ -851,13 +851,14 @@ def _fitted(spark, sf, kind: str):
     """Fit once per (session, data, learner); later queries in the process reuse it."""
     from .. import model as M
     key = (id(spark), sf, kind)
-    if key not in _FITTED:
+    hit = _FITTED.get(key)
+    if hit is None or hit[0] is not spark:
         train, _ = _train_test(spark, sf)
         clf = {"gbt": lambda: M.baseline_booster(max_iter=REGISTRY_TREES),
                "second": lambda: M.second_learner(num_trees=20),
                "tuned": lambda: M.tuned_booster(max_iter=REGISTRY_TREES)}[kind]()
-        _FITTED[key] = M.fit_pipeline(train, clf)
-    return _FITTED[key]
+        hit = _FITTED[key] = (spark, M.fit_pipeline(train, clf))
+    return hit[1]
 
 
 def _test_rows(spark, sf):
