@@ -116,6 +116,23 @@ def unpivot_values(df: DataFrame, columns: list[str], group_cols: list[str] | No
     return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float],
+                     group_cols: list[str] | None = None, accuracy: int = 10_000) -> DataFrame:
+    """Opt-in approximate quantiles: one ``percentile_approx`` sketch pass per (group, column).
+
+    Values are data points within rank error 1/accuracy (no interpolation);
+    there is no distinct-value shuffle, so high-cardinality columns stay cheap.
+    """
+    group_cols = list(group_cols or [])
+    keys = group_cols + ["column"]
+    ps = [float(p) for p in probs]
+    return (unpivot_values(df, columns, group_cols).groupBy(*keys)
+            .agg(F.percentile_approx("value", ps, accuracy).alias("qs"))
+            .select(*keys, F.posexplode("qs").alias("i", "value"))
+            .select(*keys, F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("i") + 1)
+                    .alias("prob"), "value"))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     group_cols: list[str] | None = None,
                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
@@ -186,10 +203,11 @@ def pct_name(p: float) -> str:
 
 
 def quantiles_wide(df: DataFrame, columns: list[str], probs: list[float],
-                   group_cols: list[str] | None = None) -> DataFrame:
-    """``exact_quantiles`` pivoted: one row per (group, column) with q25, q50, ... columns."""
+                   group_cols: list[str] | None = None, exact: bool = True) -> DataFrame:
+    """Quantiles pivoted: one row per (group, column) with q25, q50, ... columns."""
     group_cols = list(group_cols or [])
-    q = exact_quantiles(df, columns, probs, group_cols)
+    q = (exact_quantiles(df, columns, probs, group_cols) if exact
+         else approx_quantiles(df, columns, probs, group_cols))
     return q.groupBy(*group_cols, "column").agg(
         *[F.max(F.when(F.col("prob") == F.lit(float(p)), F.col("value"))).alias(pct_name(p))
           for p in probs])

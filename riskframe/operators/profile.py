@@ -74,16 +74,17 @@ def skew_partition(df: DataFrame, columns: list[str],
                                                                     F.col("column"))
 
 
-def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """count, mean, std (ddof 1), min, 25/50/75 %, max per column.
 
-    Exact quantiles (linear interpolation), unlike ``df.summary()``.
+    Exact quantiles (linear interpolation) by default, unlike ``df.summary()``;
+    ``exact=False`` uses one approximate sketch pass instead.
     """
     v = F.col("value")
     basic = unpivot_values(df, columns, drop_nulls=False).groupBy("column").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    q = quantiles_wide(df, columns, [0.25, 0.5, 0.75])
+    q = quantiles_wide(df, columns, [0.25, 0.5, 0.75], exact=exact)
     return (basic.join(q, "column", "left")
             .select("column", "count", "mean", "std", "min",
                     F.col(pct_name(0.25)).alias("p25"), F.col(pct_name(0.5)).alias("p50"),
@@ -154,9 +155,13 @@ def ordinal_levels(df: DataFrame, columns=("grade", "sub_grade")) -> DataFrame:
     return long.withColumn("rank", F.row_number().over(w) - 1).orderBy("column", "rank")
 
 
-def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(column, median): exact median, mean of the middle two for even n."""
-    q = exact_quantiles(df, columns, [0.5])
+def impute_median(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+    """(column, median): exact median, mean of the middle two for even n.
+
+    ``exact=False``: approximate median from one sketch pass.
+    """
+    from .ordered import approx_quantiles
+    q = exact_quantiles(df, columns, [0.5]) if exact else approx_quantiles(df, columns, [0.5])
     return q.select("column", F.col("value").alias("median")).orderBy("column")
 
 

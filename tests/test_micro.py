@@ -319,3 +319,14 @@ def test_kde_constant_column_is_empty_not_error(spark):
     # density integrates to about 1 over the data range for a wide sample
     step = rows[1]["x"] - rows[0]["x"]
     assert 0.8 < sum(r["density"] for r in rows) * step < 1.05
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    from riskframe.operators.ordered import approx_quantiles
+    df = spark.range(20000).select(((F.col("id") * 7919) % 10007).cast("double").alias("x"))
+    ex = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.1, 0.5, 0.9]).collect()}
+    ap = {r["prob"]: r["value"] for r in approx_quantiles(df, ["x"], [0.1, 0.5, 0.9]).collect()}
+    for p in ex:
+        assert abs(ex[p] - ap[p]) <= 10007 * 2e-4 + 1
+    m = profile.impute_median(df, ["x"], exact=False).first()["median"]
+    assert abs(m - ex[0.5]) <= 10007 * 2e-4 + 1
