@@ -52,3 +52,33 @@ def test_shuffle_partitions_invariance(spark, scored):
     for ra, rb in zip(a, b):
         for x, y in zip(ra, rb):
             assert x == (pytest.approx(y, rel=1e-12) if isinstance(y, float) else y)
+
+
+def test_hot_score_value_exact_against_brute_force(spark):
+    """One score holds a third of all rows; many buckets; results equal a brute-force pass."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    n = 3000
+    scores = np.where(np.arange(n) % 3 == 0, 0.5, rng.integers(0, 400, n) / 400.0)
+    labels = (rng.random(n) < 0.2 + 0.6 * scores).astype(int)
+    df = spark.createDataFrame([(int(y), float(s)) for y, s in zip(labels, scores)],
+                               "label int, score double")
+    m = evaluate.curve_metrics(df, rows_per_bucket=25).first()
+    P, N = labels.sum(), n - labels.sum()
+    # brute force over distinct thresholds, descending
+    ts = np.unique(scores)[::-1]
+    tp = np.array([((scores >= t) & (labels == 1)).sum() for t in ts])
+    fp = np.array([((scores >= t) & (labels == 0)).sum() for t in ts])
+    pos = np.diff(np.concatenate([[0], tp]))
+    neg = np.diff(np.concatenate([[0], fp]))
+    roc = np.sum(neg * (tp - pos) + 0.5 * pos * neg) / (P * N)
+    prec = tp / (tp + fp)
+    rec = tp / P
+    prev_p = np.concatenate([[1.0], prec[:-1]])
+    prev_r = np.concatenate([[0.0], rec[:-1]])
+    pr = np.sum((rec - prev_r) * (prec + prev_p) / 2)
+    f1 = 2 * tp / (tp + fp + P)
+    best = max(range(len(ts)), key=lambda i: (f1[i], -ts[i]))
+    assert m["roc_auc"] == pytest.approx(roc, rel=1e-12)
+    assert m["pr_auc"] == pytest.approx(pr, rel=1e-12)
+    assert m["best_threshold"] == ts[best] and m["best_f1"] == pytest.approx(f1[best], rel=1e-12)
