@@ -174,8 +174,8 @@ _STATUSES = ", ".join("'" + s + "'" for s in BAD_STATUSES + GOOD_STATUSES)
 
 
 @register("outcome_counts", duckdb_with("loans") + f"""
-SELECT count(*) AS rows_before, count_if(loan_status IN ({_STATUSES})) AS rows_after,
-  count(*) - count_if(loan_status IN ({_STATUSES})) AS rows_removed FROM loans""")
+SELECT count(*) AS rows_before, CAST(count_if(loan_status IN ({_STATUSES})) AS BIGINT) AS rows_after,
+  CAST(count(*) - count_if(loan_status IN ({_STATUSES})) AS BIGINT) AS rows_removed FROM loans""")
 def q_outcome_counts(spark, sf):
     return clean.outcome_counts(_loans(spark, sf))
 
