@@ -24,14 +24,19 @@ def con():
     return c
 
 
+# Spark simple type -> DuckDB type name
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+         "date": "DATE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
     df = entry.queries()[key](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    res = con.execute(entry.oracle_sql()[key])
-    dcols = [d[0] for d in res.description]
-    assert sorted(df.columns) == sorted(dcols)
-    assert rows_of(df.columns, srows) == rows_of(dcols, res.fetchall())
+    rel = con.sql(entry.oracle_sql()[key])
+    stypes = {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert rows_of(df.columns, srows) == rows_of(rel.columns, rel.fetchall())
 
 
 def test_every_oracle_has_a_query():
