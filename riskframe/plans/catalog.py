@@ -874,8 +874,11 @@ def _model_scores(spark, sf, kind: str, rows=None) -> DataFrame:
 
 
 def _model_metrics(spark, sf, kind: str) -> DataFrame:
-    s = _model_scores(spark, sf, kind)
-    return evaluate.model_comparison({kind: s}, THRESHOLD)
+    s = _model_scores(spark, sf, kind).persist()   # curves and F1 read the same scores
+    try:
+        return evaluate.model_comparison({kind: s}, THRESHOLD)
+    finally:
+        s.unpersist()
 
 
 @register("fit_gbt")
