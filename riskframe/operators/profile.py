@@ -20,9 +20,12 @@ def _share(count_col: str, total: int) -> Column:
 
 def value_distribution(df: DataFrame, col: str) -> DataFrame:
     """(value, count, pct) of a column; NULL excluded; count desc (A1, A2)."""
-    counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("count"))
-    # Bounded by the number of distinct values; the total is one scalar.
-    total = df.filter(F.col(col).isNotNull()).count()
+    from ..session import cut_lineage
+    # One scan: the grouped counts are written once to the shared checkpoint
+    # folder; the total is summed from that small table, not from the input.
+    counts = cut_lineage(df.filter(F.col(col).isNotNull()).groupBy(col)
+                         .agg(F.count(F.lit(1)).alias("count")))
+    total = counts.agg(F.sum("count")).first()[0] or 0
     return counts.withColumn("pct", _share("count", total)) \
         .orderBy(F.col("count").desc(), F.col(col))
 
