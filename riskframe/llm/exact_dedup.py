@@ -69,12 +69,13 @@ def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Column names are free: working columns are kept apart from the input's, so clashing names
     such as ``h128`` or ``kept`` survive unchanged.
     """
-    cols = docs.columns
     packed = written(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in cols]).alias("row"), F.col(id_col).alias("doc_id"),
-        text_or_empty(text_col).alias("body"),
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.monotonically_increasing_id().alias("row_uid")), "exact-docs")
-    rows = packed.select("doc_id", F.unhex(F.md5("body")).alias("h128"),
-                         F.sha2("body", 256).alias("text_sha256"), "row_uid")
-    kept = _with_groups(rows, packed.select("body"), keep).filter("kept").select("row_uid")
+    body = F.coalesce(F.col("row").getField(text_col).cast("string"), F.lit(""))
+    rows = packed.select(F.col("row").getField(id_col).alias("doc_id"),
+                         F.unhex(F.md5(body)).alias("h128"),
+                         F.sha2(body, 256).alias("text_sha256"), "row_uid")
+    kept = _with_groups(rows, packed.select(body.alias("body")), keep).filter("kept").select(
+        "row_uid")
     return packed.join(kept, "row_uid", "left_semi").select("row.*")

@@ -11,13 +11,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import exact_dedup, packing, records, sharding
+from riskframe.llm import (byte_bpe, exact_dedup, fingerprint, html_content, neardup, packing,
+                           records, sharding, token_tree, toxicity)
 from riskframe.sources.tables import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+TOXIC_FROM = 0.7  # a document with this score or more is rejected
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
@@ -26,10 +30,57 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(_documents(spark, sf_dir), 24)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three edits per text: its middle word repeated twice as long, its beginning moved to the
+    end, and a run of characters after its first third deleted."""
+    docs = _documents(spark, sf_dir).withColumn("n", F.coalesce(F.char_length("text"), F.lit(0)))
+    half, third = F.floor(F.col("n") / 2), F.floor(F.col("n") / 3)
+    head = F.coalesce(F.substring("text", F.lit(1), F.lit(40)), F.lit(""))
+
+    def edit(start, stop, new):
+        return F.struct(start.cast("bigint").alias("start"), stop.cast("bigint").alias("stop"),
+                        new.alias("new"))
+
+    edits = F.array(edit(half, half + 5, F.concat(F.lit(" "), head, F.lit(" "), head)),
+                    edit(F.col("n") + 80, F.col("n") + 80, F.concat(F.lit("\n"), head)),
+                    edit(third, third + 25, F.lit("")))
+    return token_tree.count_edits(docs.withColumn("edits", edits), BYTE_BPE,
+                                  public_tokenizers.PATTERN, edits_col="edits")
+
+
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_edits(_documents(spark, sf_dir))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_documents(_documents(spark, sf_dir), BYTE_BPE,
+                                     public_tokenizers.PATTERN)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels come from rows outside the held-out third only; text alone is scored."""
+    docs = _documents(spark, sf_dir)
+    labels = read_table(spark, sf_dir, "labels").filter(~toxicity.held_out())
+    model = toxicity.fit_on(docs, labels)
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(_documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), WORD_BPE)
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_content.extract(pages, ["page_id", "url"]).withColumn(
+        "n_chars", F.char_length("text").cast("bigint"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_documents(spark, sf_dir), keep="max").select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -50,8 +101,9 @@ _ORACLE = {
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op7_packing, op9_exact_dedup,
-                                    op10_record_files)}
+    return {f.__name__: f for f in (
+        op1_sharding, op2_token_counts, op3_fingerprints, op4_byte_bpe, op5_toxicity,
+        op6_near_duplicates, op7_packing, op8_main_text, op9_exact_dedup, op10_record_files)}
 
 
 def oracle_sql() -> dict[str, str]:

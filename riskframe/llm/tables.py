@@ -25,16 +25,44 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back.
 
     This cuts the lineage: later jobs read files that every executor reaches, so a lost
     executor costs no recomputation, and values that depend on how the input was split
-    (row numbers of a partition) are fixed once.
+    (row numbers of a partition) are fixed once. The table stays until :func:`forget` or
+    :func:`release`.
     """
-    path = shared_folder(df.sparkSession, name)
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back.scratch_path = path
+    return back
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for p in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for df in tables:
+        own = _SCRATCH.get(df.sparkSession.sparkContext.applicationId, [])
+        if df.scratch_path in own:
+            own.remove(df.scratch_path)
+            _delete(df.sparkSession, [df.scratch_path])
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all written tables of this application; results that read them must be stored."""
+    _delete(spark, _SCRATCH.pop(spark.sparkContext.applicationId, []))
 
 
 _SHIPPED: set[str] = set()

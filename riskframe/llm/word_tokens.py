@@ -85,8 +85,9 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of every text. Hand over blocks of about a million characters at a time."""
-        if len(self.known) > self.max_chunks:
-            self.known = {"": b""}
+        if len(self.known) > self.max_chunks:  # what came first are mostly the frequent ones
+            for chunk in list(self.known)[self.max_chunks // 3:]:
+                del self.known[chunk]
         chunks = [self._chunks(t) for t in texts]
         known = self.known
         missing = {c for cs in chunks for c in cs if c not in known}
