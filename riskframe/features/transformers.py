@@ -13,7 +13,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH_YEAR, history_years, parse_month
@@ -219,20 +219,26 @@ class NumericScalerModel(_NumericModel):
     pass
 
 
-# Yeo-Johnson λ search: bracket, grid size and passes (grid refine ≈ golden search).
+# Yeo-Johnson λ search: first bracket, points per pass, precision, and where a likelihood
+# that still rises ends the search (λ past it only overflows).
 YJ_BRACKET = (-2.0, 2.0)
 YJ_GRID = 9
-YJ_PASSES = 8
+YJ_TOLERANCE = 1e-5
+YJ_FARTHEST = 1000.0
+# Spreads below this share of the mean are rounding errors of the map, not data.
+YJ_ROUNDING = 1e-10
 
 
 def fit_yeo_johnson_lambdas(df: DataFrame, cols: list[str], bracket=YJ_BRACKET,
-                            grid: int = YJ_GRID, passes: int = YJ_PASSES) -> list[float]:
+                            grid: int = YJ_GRID, tolerance: float = YJ_TOLERANCE) -> list[float]:
     """Maximum-likelihood λ per column, all columns per aggregate pass.
 
     log L(λ) = −n/2·ln(var_pop(y_λ)) + (λ−1)·Σ sign(x)·ln(1+|x|). The second
-    sum does not depend on λ and is computed once. Each pass evaluates a grid
-    of λ for every column in one aggregate and narrows each bracket around its
-    best point.
+    sum does not depend on λ and is computed once. Each pass evaluates a grid of
+    λ for every column in one aggregate. ``bracket`` is only where the search
+    starts: while the best point lies on an end of a column's grid, the grid
+    moves outwards and doubles; once it lies inside, the grid narrows around it.
+    A column without spread keeps λ = 1.
     """
     if not cols:
         return []
@@ -240,47 +246,71 @@ def fit_yeo_johnson_lambdas(df: DataFrame, cols: list[str], bracket=YJ_BRACKET,
     # if needed; recomputed from lineage if an executor is lost).
     df = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist()
     try:
-        return _search_lambdas(df, cols, bracket, grid, passes)
+        return _search_lambdas(df, cols, bracket, grid, tolerance)
     finally:
         df.unpersist()
 
 
-def _search_lambdas(df: DataFrame, cols: list[str], bracket, grid: int, passes: int) -> list[float]:
-    from ..operators.ordered import unpivot_values
-    # Long form (column, value): each pass is ONE grouped aggregate with `grid`
-    # variances, whatever the number of columns; each column's grid enters as a
-    # literal map from column name to λ.
-    long = unpivot_values(df, cols)
+def yeo_johnson_likelihoods(df: DataFrame, lams: dict[str, list[float]]) -> DataFrame:
+    """(column, n, t, v): per column, the variances ``v`` after the map at each λ of its grid.
+
+    Long form: every value carries its column's grid as an array, so one grouped
+    aggregate with as many variances as grid points serves any number of columns.
+    """
+    grid = len(next(iter(lams.values())))
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"),
+                 F.array(*[F.lit(float(v)) for v in ls]).alias("lams"))
+        for c, ls in lams.items()]))).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     x = F.col("value")
-    base = {r["column"]: r for r in long.groupBy("column").agg(
-        F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("t")).collect()}
-    n = [int(base[c]["n"]) if c in base else 0 for c in cols]
-    t = [_nan_to_zero(base[c]["t"]) if c in base else 0.0 for c in cols]
-    lo = [bracket[0]] * len(cols)
-    hi = [bracket[1]] * len(cols)
-    best = [1.0] * len(cols)
-    for _ in range(passes):
-        lams = [[lo[i] + (hi[i] - lo[i]) * k / (grid - 1) for k in range(grid)]
-                for i in range(len(cols))]
-        lam_col = [F.element_at(F.create_map(*[F.lit(v) for i, c in enumerate(cols)
-                                               for v in (c, lams[i][k])]), F.col("column"))
-                   for k in range(grid)]
-        r = {row["column"]: row for row in long.groupBy("column").agg(
-            *[F.var_pop(yeo_johnson(x, lam_col[k])).alias(f"v{k}") for k in range(grid)]).collect()}
-        for i, c in enumerate(cols):
-            if n[i] < 2 or c not in r:
+    return long.groupBy("column").agg(
+        F.count(x).alias("n"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("t"),
+        F.array(*[_spread(yeo_johnson(x, F.get("lams", F.lit(k)))) for k in range(grid)])
+        .alias("v"))
+
+
+def _spread(y) -> Column:
+    """Population variance; 0 where it drowns in the rounding of nearly equal values."""
+    var, mean = F.var_pop(y), F.avg(y)
+    return F.when(var > F.pow(F.lit(YJ_ROUNDING) * mean, F.lit(2.0)), var).otherwise(F.lit(0.0))
+
+
+def _log_likelihood(n: int, t: float, variance: float | None, lam: float) -> float:
+    ok = variance is not None and math.isfinite(variance) and variance > 0
+    return -n / 2.0 * math.log(variance) + (lam - 1.0) * t if ok else -math.inf
+
+
+def _search_lambdas(df: DataFrame, cols: list[str], bracket, grid: int,
+                    tolerance: float) -> list[float]:
+    ends = {c: bracket for c in cols}
+    best = {c: 1.0 for c in cols}
+    moved: dict[str, int] = {}   # -1 or 1: outwards so far; 0: the best has been inside
+    while ends:
+        lams = {c: [lo + (hi - lo) * k / (grid - 1) for k in range(grid)]
+                for c, (lo, hi) in ends.items()}
+        got = {r["column"]: r for r in yeo_johnson_likelihoods(df, lams).collect()}
+        for c, (lo, hi) in list(ends.items()):
+            r = got.get(c)
+            scores = [_log_likelihood(r["n"], r["t"], v, lam) if r and r["n"] > 1 else -math.inf
+                      for lam, v in zip(lams[c], r["v"] if r else [None] * grid)]
+            k = max(range(grid), key=lambda i: (scores[i], -abs(lams[c][i] - 1.0)))
+            if scores[k] == -math.inf:
+                del ends[c]
                 continue
-            scores = []
-            for k in range(grid):
-                v = r[c][f"v{k}"]
-                ok = v is not None and not math.isnan(v) and not math.isinf(v) and v > 0
-                ll = (-n[i] / 2.0 * math.log(v) + (lams[i][k] - 1.0) * t[i]) if ok else -math.inf
-                scores.append(ll)
-            kb = max(range(grid), key=lambda k: (scores[k], -abs(lams[i][k] - 1.0)))
-            best[i] = lams[i][kb]
-            step = (hi[i] - lo[i]) / (grid - 1)
-            lo[i], hi[i] = best[i] - step, best[i] + step
-    return best
+            best[c], step = lams[c][k], (hi - lo) / (grid - 1)
+            # Outwards only from the first bracket or onwards in the same direction: any other
+            # end has a worse point beyond it that an earlier pass has seen.
+            if k == 0 and moved.get(c, -1) == -1 and lo > -YJ_FARTHEST:
+                moved[c], ends[c] = -1, (lo + step - 2 * (hi - lo), lo + step)
+            elif k == grid - 1 and moved.get(c, 1) == 1 and hi < YJ_FARTHEST:
+                moved[c], ends[c] = 1, (hi - step, hi - step + 2 * (hi - lo))
+            elif step > tolerance * max(1.0, abs(best[c])):
+                moved[c] = 0
+                ends[c] = (best[c] if k == 0 else best[c] - step,
+                           best[c] if k == grid - 1 else best[c] + step)
+            else:
+                del ends[c]
+    return [best[c] for c in cols]
 
 
 class SkewedNumericScaler(Estimator, _ColsParams, _Stage):
