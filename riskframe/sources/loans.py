@@ -9,36 +9,62 @@ Parquet once (``to_parquet``) so later scans prune columns and split.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalar import nan_to_null
 from ..schema import raw_schema
 
 
-def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-                   repartition: int | None = None) -> DataFrame:
-    """Scan loan CSV(s) with a header and the declared schema.
+#: How loan CSVs are written: quotes are doubled inside quoted text, and quoted text may hold
+#: line breaks. A file that may hold them cannot be split, so one file is one task.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"', "multiLine": True,
+               "mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": False,
+               "ignoreTrailingWhiteSpace": False, "nanValue": "NaN", "enforceSchema": False}
+CORRUPT = "_corrupt_record"
+
 
-    A missing path raises ``FileNotFoundError`` naming it (the caller decides
-    whether to continue without a frame).
+def read_loans_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                   repartition: int | None = None, corrupt_col: str | None = None) -> DataFrame:
+    """Scan loan CSV(s) with the declared schema, columns matched by header name.
+
+    Quoted text may hold doubled quotes and line breaks. The header's order is free; a
+    declared column that it lacks is NULL, an undeclared one is left out. Files whose headers
+    differ from the first one's raise when they are read. A malformed number is NULL, and
+    ``corrupt_col`` then holds the row's text (see :func:`malformed_rows`). Convert to Parquet
+    once (``to_parquet``): a file is one task here. A missing path raises
+    ``FileNotFoundError`` naming it (the caller decides whether to continue without a frame).
     """
     from pyspark.errors import AnalysisException
+    schema = schema or raw_schema()
+    declared = {f.name: f.dataType for f in schema.fields}
+    reader = spark.read.options(**CSV_OPTIONS)
     try:
-        return _read_csv(spark, path, schema, repartition)
+        header = reader.csv(path).columns   # names only: without inferSchema no row is parsed
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             raise FileNotFoundError(f"loan file not found: {path}") from e
         raise
+    found = T.StructType([T.StructField(h, declared.get(h, T.StringType())) for h in header])
+    if corrupt_col:
+        found = found.add(CORRUPT, T.StringType())
+    df = reader.option("columnNameOfCorruptRecord", CORRUPT).schema(found).csv(path)
+    df = to_null_markers(df.select(
+        *[F.col(c) if c in header else F.lit(None).cast(t).alias(c)
+          for c, t in declared.items()],
+        *([F.col(CORRUPT).alias(corrupt_col)] if corrupt_col else [])))
+    return df.repartition(repartition) if repartition else df
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None,
-              repartition: int | None) -> DataFrame:
-    df = (spark.read.schema(schema or raw_schema()).option("header", True)
-          .option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", False)
-          .option("ignoreTrailingWhiteSpace", False).option("nanValue", "NaN")
-          .csv(path))
-    df = to_null_markers(df)
-    return df.repartition(repartition) if repartition else df
+def malformed_rows(df: DataFrame, corrupt_col: str = CORRUPT) -> DataFrame:
+    """One row: all rows, and those in which some value could not be read as declared."""
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(corrupt_col).alias("n_malformed"))
+
+
+def write_loans_csv(df: DataFrame, path: str) -> None:
+    """Write loans as CSV in the form that :func:`read_loans_csv` reads, text kept as it is."""
+    df.write.options(header=True, quote='"', escape='"', quoteAll=True, emptyValue="",
+                     ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def to_null_markers(df: DataFrame) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..score import Scorer
 from ..session import checkpoint_dir
+from ..sources.loans import CSV_OPTIONS
 
 
 def score_stream(scorer: Scorer, stream: DataFrame, threshold: float = 0.5,
@@ -35,7 +36,7 @@ def application_stream(spark: SparkSession, path: str, schema: T.StructType,
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     if fmt == "csv":
-        r = r.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        r = r.options(**CSV_OPTIONS)   # a file whose header differs from the schema raises
     return r.load(path)
 
 
