@@ -2,19 +2,24 @@
 
 ``Window.orderBy`` without a partition key and the ``percentile`` aggregate both
 end in ONE task holding every distinct value. At 100 TB that task is the job.
-Instead:
+
+Prefix sums (:func:`cumulative_sums`):
 
 1. aggregate to distinct ``(group, value)`` rows (map-side combine first);
-2. cut the order column into contiguous buckets at global approximate
-   quantiles (``percentile_approx``: a bounded, mergeable sketch) and assign
-   buckets with ``Bucketizer`` (a JVM binary search, no Python);
-3. per-bucket totals form a small table (groups × buckets); their running
-   offsets come from a window over that small table;
-4. a window partitioned by ``(group, bucket)`` adds the offset to the in-bucket
-   running sum. Every task sorts at most ~``rows_per_bucket`` distinct values.
+2. cut the order column into contiguous buckets of about ``rows_per_bucket`` rows at
+   approximate quantiles (``percentile_approx``: a bounded, mergeable sketch): the first
+   level over all rows (``Bucketizer``, a JVM binary search), further levels inside each
+   bucket, until the buckets are small enough for one task;
+3. per-bucket totals form a small table (groups x buckets); their running offsets come
+   from a window over that small table;
+4. a window partitioned by ``(group, bucket)`` adds the offset to the in-bucket running sum.
 
 A hot value is a single distinct row, so skew cannot overload a bucket. The
 results are exact; the sketch only decides where buckets are cut.
+
+Quantiles (:func:`exact_quantiles`) do not shuffle all distinct values: a sketch gives for
+every wanted rank a bracket of values around it; one more pass counts the values below each
+bracket and groups those inside it, about one in a hundred; prefix sums pick the rank.
 """
 
 from __future__ import annotations
@@ -37,37 +42,53 @@ def bounded_broadcast(df: DataFrame, bound_rows: int) -> DataFrame:
     return F.broadcast(df) if bound_rows <= MAX_BROADCAST_ROWS else df
 
 
-def _bucket_count(n: int, rows_per_bucket: int, max_buckets: int) -> int:
-    return max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
+# Cuts of the first level of buckets, and of each further level.
+FIRST_FAN = 1024
+NEXT_FAN = 64
 
 
 def _clean_cuts(cuts) -> list[float]:
     return sorted({float(c) for c in (cuts or []) if c is not None and not math.isnan(c)})
 
 
-def add_buckets(df: DataFrame, order_col: str, n_buckets: int,
-                bucket_col: str = "__bucket") -> DataFrame:
-    """Order-contiguous bucket index from global approximate quantile cut points.
+def _probs(fan: int) -> list[float]:
+    return [i / fan for i in range(1, fan)]
+
+
+def add_buckets(df: DataFrame, order_col: str, n_buckets: int, bucket_col: str = "__bucket",
+                first_fan: int = FIRST_FAN, next_fan: int = NEXT_FAN) -> DataFrame:
+    """Order-contiguous bucket index from approximate quantile cut points, in levels.
 
     The cut points are taken over all rows, whatever the grouping: every bucket
     then holds about N / n_buckets rows in total, so each group's share of a
     bucket is bounded as well, and each group's values stay contiguous.
     """
-    if n_buckets <= 1:
-        return df.withColumn(bucket_col, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 20 * n_buckets)
-    cuts = _clean_cuts(df.agg(F.percentile_approx(order_col, probs, accuracy)
-                              .alias("c")).first()["c"])
-    b = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol=order_col,
-                   outputCol=bucket_col, handleInvalid="keep")
-    return b.transform(df).withColumn(bucket_col, F.col(bucket_col).cast("int"))
+    fan = max(1, min(first_fan, n_buckets))
+    b = df.withColumn(bucket_col, F.lit(0).cast("bigint"))
+    if fan > 1:
+        cuts = _clean_cuts(df.agg(F.percentile_approx(order_col, _probs(fan),
+                                                      max(10_000, 20 * fan)).alias("c")).first()["c"])
+        splits = Bucketizer(splits=[-math.inf] + cuts + [math.inf], inputCol=order_col,
+                            outputCol=bucket_col, handleInvalid="keep")
+        b = splits.transform(df).withColumn(bucket_col, F.col(bucket_col).cast("bigint"))
+    made = fan
+    while made < n_buckets:
+        fan = min(next_fan, math.ceil(n_buckets / made))
+        # A row per bucket: broadcast only up to the checked bound, else joined by shuffle.
+        inner = b.groupBy(bucket_col).agg(
+            F.percentile_approx(order_col, _probs(fan), 100 * fan).alias("__cuts"))
+        b = (b.join(bounded_broadcast(inner, made), bucket_col)
+             .withColumn(bucket_col, F.col(bucket_col) * fan + F.size(
+                 F.filter("__cuts", lambda c: c <= F.col(order_col))))
+             .drop("__cuts"))
+        made *= fan
+    return b
 
 
 def cumulative_sums(df: DataFrame, order_col: str, sum_cols: list[str],
                     group_cols: list[str] | None = None, descending: bool = False,
-                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, max_buckets: int = 4096,
-                    n_rows: int | None = None) -> DataFrame:
+                    rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET, n_rows: int | None = None,
+                    first_fan: int = FIRST_FAN) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in ``order_col`` order, per group.
 
     ``df`` must hold one row per distinct ``(group, order_col)`` with non-null
@@ -75,14 +96,9 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols: list[str],
     """
     group_cols = list(group_cols or [])
     n = df.count() if n_rows is None else n_rows
-    nb = _bucket_count(n, rows_per_bucket, max_buckets)
+    b = add_buckets(df, order_col, max(1, math.ceil(n / max(1, rows_per_bucket))),
+                    first_fan=first_fan)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    if nb == 1:
-        # All distinct rows fit one bucket (≤ rows_per_bucket in total): no offsets.
-        part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-        w1 = part.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.select(*df.columns, *[F.sum(c).over(w1).alias(f"cum_{c}") for c in sum_cols])
-    b = add_buckets(df, order_col, nb)
     if descending:
         b = b.withColumn("__bucket", -F.col("__bucket"))
     keys = group_cols + ["__bucket"]
@@ -133,69 +149,92 @@ def approx_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     .alias("prob"), "value"))
 
 
+# Half the width of a bracket in ranks, as a share of the rows; the sketch's own error is a
+# fifth of it. Groups of fewer rows than BRACKET_ALL are bracketed by their range.
+BRACKET = 0.005
+BRACKET_ALL = 1_000
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float],
                     group_cols: list[str] | None = None,
                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
     """Exact linear-interpolated quantiles (numpy default, SQL ``quantile_cont``).
 
-    Returns ``(group..., column, prob, value)``; NULLs are ignored. Work: one
-    shuffle of distinct values (persisted). If that table has at most
-    ``rows_per_bucket`` rows, one frequency-weighted ``percentile`` aggregate
-    finishes the job; otherwise a bucketed prefix count and a join against the
-    rank targets do. The result has groups × columns × probs rows, so it is
-    computed here and handed back as a small local DataFrame.
+    Returns ``(group..., column, prob, value)``; NULLs are ignored. Two passes over the
+    input: a sketch per (group, column), then counts below and inside the brackets; only
+    values inside a bracket are shuffled. A rank outside its bracket (the sketch failed)
+    is looked for again in the whole range. All tables between the passes are written to
+    the shared checkpoint folder; nothing that grows with groups or rows reaches the driver.
     """
+    from ..session import cut_lineage
     group_cols = list(group_cols or [])
     keys = group_cols + ["column"]
-    counts = (unpivot_values(df, columns, group_cols)
-              .groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("cnt"))).persist()
-    try:
-        n_distinct = counts.count()
-        if n_distinct <= rows_per_bucket:
-            # Every group holds at most rows_per_bucket distinct values: the
-            # frequency-weighted ``percentile`` (same interpolation) is bounded and
-            # exact, and needs a single aggregate.
-            res = (counts.groupBy(*keys)
-                   .agg(F.percentile("value", [float(p) for p in probs], F.col("cnt")).alias("qs"))
-                   .select(*keys, F.posexplode("qs").alias("i", "value"))
-                   .select(*keys, F.element_at(F.array(*[F.lit(float(p)) for p in probs]),
-                                               F.col("i") + 1).alias("prob"), "value"))
-        else:
-            res = _quantiles_from_counts(counts, keys, probs, rows_per_bucket)
-        schema = res.schema
-        rows = res.collect()
-    finally:
-        counts.unpersist()
-    return df.sparkSession.createDataFrame(rows, schema)
-
-
-def _quantiles_from_counts(counts: DataFrame, keys: list[str], probs: list[float],
-                           rows_per_bucket: int) -> DataFrame:
-    cum = cumulative_sums(counts, "value", ["cnt"], keys[:-1] + ["column"],
-                          rows_per_bucket=rows_per_bucket)
-    pos = (F.col("n") - 1).cast("double") * F.col("prob")
-    targets = (counts.groupBy(*keys).agg(F.sum("cnt").alias("n"))
-               .withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .select(*keys, "prob", (pos - F.floor(pos)).alias("frac"),
-                       F.explode(F.array(
-                           F.struct(F.lit(0).alias("hi"), F.floor(pos).cast("long").alias("k")),
-                           F.struct(F.lit(1).alias("hi"), F.ceil(pos).cast("long").alias("k"))))
-                       .alias("t"))
-               .select(*keys, "prob", "frac", "t.hi", "t.k"))
-    c, r = cum.alias("c"), targets.alias("r")
-    cond = [F.col(f"c.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys] + [
-        F.col("c.cum_cnt") - F.col("c.cnt") <= F.col("r.k"), F.col("r.k") < F.col("c.cum_cnt")]
-    # Targets: 2 rows per (group, column, prob); AQE broadcasts them after
-    # measuring, otherwise it is an equi-join on the group keys plus a range check.
-    picked = c.join(r, cond, "inner").select(
-        *[F.col(f"r.{k}").alias(k) for k in keys], F.col("r.prob").alias("prob"),
-        F.col("r.frac").alias("frac"), F.col("r.hi").alias("hi"), F.col("c.value").alias("v"))
-    return (picked.groupBy(*keys, "prob")
-            .agg(F.first("frac").alias("frac"),
-                 F.max(F.when(F.col("hi") == 0, F.col("v"))).alias("lo_v"),
-                 F.max(F.when(F.col("hi") == 1, F.col("v"))).alias("hi_v"))
-            .select(*keys, "prob",
-                    (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("frac")).alias("value")))
+    ps = [float(p) for p in probs]
+    long = unpivot_values(df, columns, group_cols)
+    ends = sorted({min(1.0, max(0.0, p + d)) for p in ps for d in (-BRACKET, BRACKET)})
+    at = {e: i for i, e in enumerate(ends)}
+    n, sketch = F.col("n"), F.col("sketch")
+    few = n < BRACKET_ALL
+    lows = [F.when(few | F.lit(p <= BRACKET), F.col("mn")).otherwise(
+        sketch[at[max(0.0, p - BRACKET)]]) for p in ps]
+    highs = [F.when(few | F.lit(p >= 1 - BRACKET), F.col("mx")).otherwise(
+        sketch[at[min(1.0, p + BRACKET)]]) for p in ps]
+    brackets = cut_lineage(long.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"),
+        F.percentile_approx("value", ends, int(5 / BRACKET)).alias("sketch"))
+        .select(*keys, "n", "mn", "mx", F.array(*lows).alias("lows"),
+                F.array(*highs).alias("highs")))
+    found = _ranks_inside(long, brackets, keys, ps, rows_per_bucket)
+    missing = cut_lineage(brackets.join(
+        found.groupBy(*keys).agg(F.count(F.lit(1)).alias("got")).filter(
+            F.col("got") == len(ps)), keys, "left_anti"))
+    if not missing.isEmpty():
+        whole = missing.select(*keys, "n", "mn", "mx",
+                               F.transform("lows", lambda _: F.col("mn")).alias("lows"),
+                               F.transform("highs", lambda _: F.col("mx")).alias("highs"))
+        found = found.join(missing.select(*keys), keys, "left_anti").unionByName(
+            _ranks_inside(long, whole, keys, ps, rows_per_bucket))
+    return found
+
+
+def bracket_counts(long: DataFrame, brackets: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, i, value, cnt): rows of value inside bracket i, and below it with a NULL value."""
+    hit = F.transform(F.arrays_zip("lows", "highs"), lambda b, i: F.when(
+        F.col("value") <= b["highs"], F.struct(
+            i.alias("i"), F.when(F.col("value") >= b["lows"], F.col("value")).alias("value"))))
+    return (long.join(bounded_broadcast(brackets.select(*keys, "lows", "highs"),
+                                        brackets.count()), keys)
+            .select(*keys, F.explode(F.filter(hit, lambda h: h.isNotNull())).alias("hit"))
+            .groupBy(*keys, F.col("hit.i").alias("i"), F.col("hit.value").alias("value"))
+            .agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def _ranks_inside(long: DataFrame, brackets: DataFrame, keys: list[str], ps: list[float],
+                  rows_per_bucket: int) -> DataFrame:
+    """(keys, prob, value) of the ranks that lie inside their brackets."""
+    from ..session import cut_lineage
+    counts = cut_lineage(bracket_counts(long, brackets, keys))
+    inside = counts.filter("value IS NOT NULL")
+    slot = [*keys, "i"]
+    cum = cumulative_sums(inside, "value", ["cnt"], slot, rows_per_bucket=rows_per_bucket)
+    below = counts.filter("value IS NULL").select(*slot, F.col("cnt").alias("below"))
+    pos = (F.col("n") - 1).cast("double") * F.element_at(F.array(*[F.lit(p) for p in ps]),
+                                                         F.col("i") + 1)
+    targets = (brackets.select(*keys, "n", F.explode(F.sequence(F.lit(0), F.lit(len(ps) - 1)))
+                               .alias("i")).join(below, slot, "left")
+               .select(*slot, (pos - F.floor(pos)).alias("frac"),
+                       (F.floor(pos).cast("bigint") - F.coalesce("below", F.lit(0))).alias("lo"),
+                       (F.ceil(pos).cast("bigint") - F.coalesce("below", F.lit(0))).alias("hi")))
+    first, last = F.col("cum_cnt") - F.col("cnt"), F.col("cum_cnt")
+    is_lo = (first <= F.col("lo")) & (F.col("lo") < last)
+    is_hi = (first <= F.col("hi")) & (F.col("hi") < last)
+    picked = (cum.join(targets, slot).filter(is_lo | is_hi).groupBy(*slot).agg(
+        F.first("frac").alias("frac"), F.max(F.when(is_lo, F.col("value"))).alias("lo_v"),
+        F.max(F.when(is_hi, F.col("value"))).alias("hi_v"))
+        .filter("lo_v IS NOT NULL AND hi_v IS NOT NULL"))
+    return cut_lineage(picked.select(
+        *keys, F.element_at(F.array(*[F.lit(p) for p in ps]), F.col("i") + 1).alias("prob"),
+        (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("frac")).alias("value")))
 
 
 def pct_name(p: float) -> str:

@@ -2,9 +2,9 @@
 
 Steps (quantile edges of the expected side, widened to both sides' range,
 ``[a, b)`` bins, shares including values in no bin, zero share -> 1e-5,
-Σ (a − e)·ln(a/e)). Work: one aggregate for the ranges, one exact-quantile job
-for ≤ bins+1 edges (metadata), one grouped count per (side, bin). Nothing but
-≤ 13 doubles reaches the driver.
+Σ (a − e)·ln(a/e)). Work: one exact-quantile job for the edges and both sides'
+ranges (probabilities 0 and 1), one grouped count per (side, bin). Nothing but
+edges and bin counts reaches the driver.
 """
 
 from __future__ import annotations
@@ -22,36 +22,25 @@ ZERO_SHARE = 1e-5
 LAST_EDGE_PAD = 1e-8
 
 
-def _side_stats(df: DataFrame, side: str, value: str, expected: str, actual: str) -> dict:
-    s, v = F.col(side), F.col(value)
-    r = df.agg(
-        F.min(F.when(s == expected, v)).alias("e_min"), F.max(F.when(s == expected, v)).alias("e_max"),
-        F.min(F.when(s == actual, v)).alias("a_min"), F.max(F.when(s == actual, v)).alias("a_max"),
-        F.count_if(s == expected).alias("e_n"), F.count_if(s == actual).alias("a_n"),
-        F.count_if((s == expected) & v.isNull()).alias("e_null")).first()
-    return r.asDict()
-
-
 def psi_edges(df: DataFrame, bins: int = 10, side: str = "side", value: str = "value",
               expected: str = "expected", actual: str = "actual",
               null_edges: str = "quantile") -> list[float] | None:
     """Final bin edges, or None when PSI is undefined (constant expected, < 2 bins)."""
-    st = _side_stats(df, side, value, expected, actual)
-    e_min, e_max = st["e_min"], st["e_max"]
+    probs = [i / bins for i in range(bins + 1)]
+    both = df.filter(F.col(side).isin(expected, actual)).select(
+        F.col(side).alias("__side"), F.col(value).alias("v"))
+    got = {(r["__side"], r["prob"]): float(r["value"]) for r in exact_quantiles(
+        both, ["v"], probs, ["__side"]).collect()}
+    e_min, e_max = got.get((expected, 0.0)), got.get((expected, 1.0))
     if e_min is None or e_min == e_max:
         return None
-    if null_edges == "equal_width" and st["e_null"] > 0:
+    has_null = null_edges == "equal_width" and not both.filter(
+        (F.col("__side") == expected) & F.col("v").isNull()).isEmpty()
+    edges = sorted({got[expected, p] for p in probs})
+    if has_null or len(edges) < 2:
         # numpy quantiles of data holding NaN collapse to one edge -> equal width.
         edges = list(np.linspace(e_min, e_max, bins + 1))
-    else:
-        probs = [i / bins for i in range(bins + 1)]
-        q = exact_quantiles(df.filter(F.col(side) == expected).select(F.col(value).alias("v")),
-                            ["v"], probs).collect()
-        edges = sorted({float(r["value"]) for r in q if r["value"] is not None})
-        if len(edges) < 2:
-            edges = list(np.linspace(e_min, e_max, bins + 1))
-    lo = min(e_min, st["a_min"]) if st["a_min"] is not None else e_min
-    hi = max(e_max, st["a_max"]) if st["a_max"] is not None else e_max
+    lo, hi = (f(e, got.get((actual, p), e)) for f, e, p in ((min, e_min, 0.0), (max, e_max, 1.0)))
     final = np.unique(np.concatenate(([lo], np.asarray(edges, dtype=float), [hi])))
     final[-1] += LAST_EDGE_PAD
     if len(final) < 3:
@@ -69,19 +58,24 @@ def bin_index(x: Column, edges: list[float]) -> Column:
 
 def psi_table(df: DataFrame, bins: int = 10, side: str = "side", value: str = "value",
               expected: str = "expected", actual: str = "actual",
-              null_edges: str = "quantile") -> DataFrame | None:
-    """(bin, lower, upper, expected_share, actual_share, component); bin NULL = no bin."""
+              null_edges: str = "quantile") -> DataFrame:
+    """(bin, lower, upper, expected_share, actual_share, component); bin NULL = no bin.
+
+    No rows when PSI is undefined (see :func:`psi_edges`).
+    """
     edges = psi_edges(df, bins, side, value, expected, actual, null_edges)
     if edges is None:
-        return None
+        return df.sparkSession.createDataFrame(
+            [], "bin int, lower double, upper double, expected_share double, "
+                "actual_share double, component double")
     s = F.col(side)
     b = df.filter(s.isin(expected, actual)).select(
         s.alias("__side"), bin_index(F.col(value).cast("double"), edges).alias("bin"))
-    counts = b.groupBy("bin").agg(F.count_if(F.col("__side") == expected).alias("e_cnt"),
-                                  F.count_if(F.col("__side") == actual).alias("a_cnt"))
-    totals = b.agg(F.count_if(F.col("__side") == expected).alias("e_tot"),
-                   F.count_if(F.col("__side") == actual).alias("a_tot")).first()
-    e_tot, a_tot = float(totals["e_tot"]), float(totals["a_tot"])
+    counted = b.groupBy("bin").agg(F.count_if(F.col("__side") == expected).alias("e_cnt"),
+                                   F.count_if(F.col("__side") == actual).alias("a_cnt"))
+    rows = counted.collect()                     # a row per bin
+    e_tot, a_tot = (float(sum(r[c] for r in rows)) for c in ("e_cnt", "a_cnt"))
+    counts = df.sparkSession.createDataFrame(rows, counted.schema)
 
     def share(c: str, tot: float) -> Column:
         raw = F.col(c) / F.lit(tot) if tot > 0 else F.lit(0.0)
@@ -103,10 +97,6 @@ def psi(df: DataFrame, bins: int = 10, side: str = "side", value: str = "value",
         null_edges: str = "quantile") -> DataFrame:
     """One row: psi, number of bins used, band (E8 + F14)."""
     t = psi_table(df, bins, side, value, expected, actual, null_edges)
-    spark = df.sparkSession
-    if t is None:
-        return spark.createDataFrame([(None, 0)], "psi double, n_bins int") \
-            .withColumn("band", psi_band("psi"))
     return (t.agg(F.sum("component").alias("psi"),
                   F.count_if(F.col("bin").isNotNull()).cast("int").alias("n_bins"))
             .withColumn("band", psi_band("psi")))
