@@ -52,7 +52,8 @@ def _gram_partition(columns: list[str], shift: np.ndarray):
     k = len(columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros((k, k)); sx = np.zeros((k, k)); sxx = np.zeros((k, k)); sxy = np.zeros((k, k))
+        n, sx, sy, sxx, syy, sxy = (np.zeros((k, k)) for _ in range(6))
+        lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
         seen = False
         for pdf in batches:
             if pdf.empty:
@@ -63,14 +64,23 @@ def _gram_partition(columns: list[str], shift: np.ndarray):
             x0 = np.where(m > 0, x - shift, 0.0)
             n += m.T @ m           # pairs with both present
             sx += x0.T @ m         # Σ x_i over pairs (i, j)
+            sy += m.T @ x0         # Σ x_j over pairs (i, j)
             sxx += (x0 * x0).T @ m
+            syy += m.T @ (x0 * x0)
             sxy += x0.T @ x0
+            for j in range(k):     # range of every x_i over the rows that have x_j
+                has = x[m[:, j] > 0]
+                if len(has):
+                    lo[:, j] = np.fmin(lo[:, j], np.fmin.reduce(has, axis=0))
+                    hi[:, j] = np.fmax(hi[:, j], np.fmax.reduce(has, axis=0))
         if not seen:
             return
         ii, jj = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
         yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                            "n": n.ravel(), "sx": sx.ravel(), "sxx": sxx.ravel(),
-                            "sxy": sxy.ravel()})
+                            "n": n.ravel(), "sx": sx.ravel(), "sy": sy.ravel(),
+                            "sxx": sxx.ravel(), "syy": syy.ravel(), "sxy": sxy.ravel(),
+                            "lo_x": lo.ravel(), "hi_x": hi.ravel(), "lo_y": lo.T.ravel(),
+                            "hi_y": hi.T.ravel()})
     return run
 
 
@@ -85,19 +95,19 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     shift = np.array([((st[c]["a"] if st[c]["a"] == st[c]["b"] else st[c]["m"]) if c in st else 0.0)
                       for c in columns], dtype=float)
     src = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    parts = src.mapInPandas(_gram_partition(columns, shift),
-                            "i int, j int, n double, sx double, sxx double, sxy double")
-    g = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ["n", "sx", "sxx", "sxy"]])
-    t = g.alias("t")
-    u = g.select(F.col("i").alias("j"), F.col("j").alias("i"),
-                 F.col("sx").alias("sy"), F.col("sxx").alias("syy")).alias("u")
-    # Σ y over pairs (i, j) is Σ x over pairs (j, i): a self-join of k² rows.
-    m = t.join(u, ["i", "j"])
-    n, sx, sy, sxx, syy, sxy = (F.col(c) for c in ["n", "sx", "sy", "sxx", "syy", "sxy"])
+    sums, lows, highs = ["n", "sx", "sy", "sxx", "syy", "sxy"], ["lo_x", "lo_y"], ["hi_x", "hi_y"]
+    parts = src.mapInPandas(_gram_partition(columns, shift), "i int, j int, " + ", ".join(
+        f"{c} double" for c in [*sums, "lo_x", "hi_x", "lo_y", "hi_y"]))
+    m = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums],
+                                    *[F.min(c).alias(c) for c in lows],
+                                    *[F.max(c).alias(c) for c in highs])
+    n, sx, sy, sxx, syy, sxy = (F.col(c) for c in sums)
     vx = n * sxx - sx * sx
     vy = n * syy - sy * sy
     cov = n * sxy - sx * sy
-    r = F.when((n < 2) | (vx <= 0) | (vy <= 0), F.lit(None).cast("double")) \
+    # Constant over the pairs is read from the pairs' range: sums need not cancel exactly.
+    constant = (F.col("lo_x") >= F.col("hi_x")) | (F.col("lo_y") >= F.col("hi_y"))
+    r = F.when((n < 2) | constant | (vx <= 0) | (vy <= 0), F.lit(None).cast("double")) \
         .otherwise(cov / F.sqrt(vx * vy))
     r = F.when(r > 1.0, F.lit(1.0)).when(r < -1.0, F.lit(-1.0)).otherwise(r)
     names = F.array(*[F.lit(c) for c in columns])

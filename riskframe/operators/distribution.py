@@ -1,8 +1,10 @@
 """Distribution shapes per numeric column.
 
-Histogram bin widths follow numpy's 'auto' rule (min of Freedman–Diaconis and
-Sturges); the KDE is a Gaussian kernel with Scott's factor evaluated on a
-200-point grid from fine-bin counts, so its cost does not grow with rows.
+Histogram bin widths follow the 'auto' rule of numpy 2.3: the Freedman–Diaconis
+width, but at least half the square-root rule's, and at most Sturges'; so a column
+has at most about 2·√n bins. The KDE is a Gaussian kernel with Scott's factor on a
+200-point grid, summed directly: each value adds to the grid points within
+``KDE_REACH`` bandwidths, map-side, so at most 200 rows per column leave a task.
 Box statistics use exact grouped quartiles.
 """
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from .ordered import bounded_broadcast, pct_name, quantiles_wide, unpivot_values
 
 KDE_GRID_POINTS = 200
-KDE_FINE_BINS = 1024
+KDE_REACH = 9.0   # exp(-9²/2) < 3e-18: what lies farther is below rounding
 
 
 def histogram_edges(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -30,7 +32,8 @@ def histogram_edges(df: DataFrame, columns: list[str]) -> DataFrame:
     iqr = F.col(pct_name(0.75)) - F.col(pct_name(0.25))
     fd = F.lit(2.0) * iqr * F.pow(n, F.lit(-1.0 / 3.0))
     sturges = ptp / (F.log2(n) + F.lit(1.0))
-    width = F.when(fd > 0, F.least(fd, sturges)).otherwise(sturges)
+    half_sqrt = ptp / F.sqrt(n) / F.lit(2.0)
+    width = F.least(F.greatest(fd, half_sqrt), sturges)
     n_bins = F.when(ptp == 0, F.lit(1)).otherwise(
         F.greatest(F.lit(1), F.ceil(ptp / width).cast("int")))
     lo = F.when(ptp == 0, F.col("mn") - F.lit(0.5)).otherwise(F.col("mn"))
@@ -41,9 +44,10 @@ def histogram_edges(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def histogram(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, bin, lower, upper, count) incl. empty bins; the last bin is closed."""
-    edges = histogram_edges(df, columns)
+    # A row per column, computed once: used for the counts and for the empty bins.
+    edges = _local(histogram_edges(df, columns))
     long = unpivot_values(df, columns)
-    j = long.join(bounded_broadcast(edges, len(columns)), "column")   # one row per column
+    j = long.join(bounded_broadcast(edges, len(columns)), "column")
     b = F.least(F.floor((F.col("value") - F.col("lo")) * F.col("n_bins")
                         / (F.col("hi") - F.col("lo"))).cast("int"), F.col("n_bins") - 1)
     counts = j.groupBy("column", b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
@@ -58,40 +62,43 @@ def histogram(df: DataFrame, columns: list[str]) -> DataFrame:
             .orderBy("column", "bin"))
 
 
-def kde_curve(df: DataFrame, columns: list[str], grid_points: int = KDE_GRID_POINTS,
-              fine_bins: int = KDE_FINE_BINS) -> DataFrame:
+def _local(df: DataFrame) -> DataFrame:
+    """A table of one row per column as a local frame, so that its plan runs once."""
+    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+
+
+def kde_curve(df: DataFrame, columns: list[str], grid_points: int = KDE_GRID_POINTS) -> DataFrame:
     """(column, point, x, density): Gaussian KDE with Scott's bandwidth on [min, max].
 
-    Rows are first counted into ``fine_bins`` equal bins (one shuffle of at most
-    fine_bins rows per column and task); each bin centre then contributes
-    ``count · φ((x − centre)/h)`` to every grid point. Cost: columns × fine_bins
-    × grid_points, independent of the row count.
+    No binning: every value adds its kernel to the grid points within ``KDE_REACH``
+    bandwidths. A constant column has no density and
+    gives no rows; grid points that no kernel reaches have density 0.
     """
     long = unpivot_values(df, columns)
-    st = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"),
-                                    F.max("value").alias("mx"),
-                                    F.stddev_samp("value").alias("sd"))
-    st = st.withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-    # try_divide: a constant column (max = min) has no density (h = 0) and must not
-    # raise under ANSI while it is binned.
-    fb = F.least(F.floor(F.try_divide((F.col("value") - F.col("mn")) * F.lit(float(fine_bins)),
-                                      F.col("mx") - F.col("mn"))).cast("int"), F.lit(fine_bins - 1))
-    fine = (long.join(bounded_broadcast(st.select("column", "mn", "mx"), len(columns)), "column")
-            .groupBy("column", F.coalesce(fb, F.lit(0)).alias("fb"))
-            .agg(F.count(F.lit(1)).alias("cnt")))
-    fine = fine.join(st, "column").filter(F.col("h") > 0)
-    centre = F.col("mn") + (F.col("fb") + F.lit(0.5)) * (F.col("mx") - F.col("mn")) / F.lit(float(fine_bins))
+    st = _local(long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"),
+        F.stddev_samp("value").alias("sd"))
+        .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+        .filter("h > 0"))
     step = (F.col("mx") - F.col("mn")) / F.lit(float(grid_points - 1))
-    pts = fine.select("column", "n", "h", centre.alias("c"), "cnt",
-                      F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("point"),
-                      "mn", step.alias("step"))
-    x = F.col("mn") + F.col("point") * F.col("step")
-    z = (x - F.col("c")) / F.col("h")
-    contrib = F.col("cnt") * F.exp(F.lit(-0.5) * z * z)
+    last = F.lit(grid_points - 1)
+    value = F.col("value")
+    lo = F.greatest(F.lit(0), F.ceil((value - F.lit(KDE_REACH) * F.col("h") - F.col("mn")) / step)
+                    .cast("int"))
+    hi = F.least(last, F.floor((value + F.lit(KDE_REACH) * F.col("h") - F.col("mn")) / step)
+                 .cast("int"))
+    near = (long.join(bounded_broadcast(st, len(columns)), "column")
+            .withColumns({"lo": lo, "hi": hi}).filter("lo <= hi")
+            .select("column", "value", "h", "mn", step.alias("step"),
+                    F.explode(F.sequence("lo", "hi")).alias("point")))
+    z = (F.col("mn") + F.col("point") * F.col("step") - value) / F.col("h")
+    sums = near.groupBy("column", "point").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("k"))
     norm = F.lit(1.0 / math.sqrt(2 * math.pi)) / (F.col("n").cast("double") * F.col("h"))
-    return (pts.groupBy("column", "point")
-            .agg(F.first(x).alias("x"), F.sum(contrib).alias("k"), F.first(norm).alias("norm"))
-            .select("column", "point", "x", (F.col("k") * F.col("norm")).alias("density"))
+    grid = st.select("column", "n", "h", "mn", step.alias("step"),
+                     F.explode(F.sequence(F.lit(0), last)).alias("point"))
+    return (grid.join(sums, ["column", "point"], "left")
+            .select("column", "point", (F.col("mn") + F.col("point") * F.col("step")).alias("x"),
+                    (F.coalesce("k", F.lit(0.0)) * norm).alias("density"))
             .orderBy("column", "point"))
 
 
@@ -106,8 +113,11 @@ def box_stats(df: DataFrame, columns: list[str], by: str = "is_bad") -> DataFram
     long = unpivot_values(df.filter(F.col(by).isNotNull()), columns, [by])
     v = F.col("value")
     inside = (v >= F.col("lo_fence")) & (v <= F.col("hi_fence"))
-    # q: one row per (class, column) -> joined back to every value.
-    return (long.join(q, [by, "column"])
+    # One row per (class, column), computed once and joined back to every value: broadcast
+    # behind a check of its size, so the few join keys never meet in single tasks.
+    q = _local(q)
+    return (long.join(bounded_broadcast(q, len(columns) * q.select(by).distinct().count()),
+                      [by, "column"])
             .groupBy(by, "column")
             .agg(F.first("q1").alias("q1"), F.first("median").alias("median"),
                  F.first("q3").alias("q3"),

@@ -171,14 +171,15 @@ def impute_median(df: DataFrame, columns: list[str], exact: bool = True) -> Data
 def impute_mode(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, mode, count): most frequent non-null value, smallest on ties.
 
-    Two aggregates over the distinct (column, value) counts; no single-task map.
+    Counts per distinct (column, value), then one aggregate that keeps the best of
+    (count, value): no join, so values that tie share no key.
     """
     long = (df.select(*[F.col(c).cast("string").alias(c) for c in columns])
             .unpivot([], columns, "column", "value").filter(F.col("value").isNotNull()))
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    top = counts.groupBy("column").agg(F.max("count").alias("count"))
-    return (counts.join(top, ["column", "count"], "inner")
-            .groupBy("column").agg(F.min("value").alias("mode"), F.first("count").alias("count"))
+    return (counts.groupBy("column")
+            .agg(F.min(F.struct((-F.col("count")).alias("neg"), "value")).alias("top"))
+            .select("column", F.col("top.value").alias("mode"), (-F.col("top.neg")).alias("count"))
             .orderBy("column"))
 
 
