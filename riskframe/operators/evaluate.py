@@ -9,6 +9,7 @@ point is derived algebraically (cum − own) instead of with ``lag``.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,19 +25,21 @@ class Totals:
     neg: int
 
 
+class UnscoredRows(ValueError):
+    """Raised when labelled rows have no score: metrics of the others would mislead."""
+
+
 def score_counts(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """(score, pos, neg): one row per distinct non-null score (partial aggregation first)."""
+    """(score, pos, neg): one row per distinct score (partial aggregation first).
+
+    Rows without a label are left out; labelled rows without a score count under NULL.
+    """
     y = F.col(label)
-    return (df.filter(F.col(score).isNotNull() & y.isNotNull())
+    return (df.filter(y.isNotNull())
             .groupBy(F.col(score).cast("double").alias("score"))
             .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg")))
 
 
-def totals(counts: DataFrame) -> Totals:
-    r = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
-    return Totals(int(r["p"] or 0), int(r["n"] or 0))
-
-
 def curve_table(df: DataFrame, label: str = "label", score: str = "score",
                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, Totals]:
     """(score, pos, neg, tp, fp) with tp/fp counted at score >= threshold."""
@@ -44,10 +47,16 @@ def curve_table(df: DataFrame, label: str = "label", score: str = "score",
     # points and the running sums: write it once to the shared checkpoint
     # folder (survives executor loss, no recomputation of the scoring plan).
     counts = cut_lineage(score_counts(df, label, score))
-    tot = totals(counts)
+    r = counts.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n"),
+                   F.count(F.lit(1)).alias("rows"),
+                   F.sum(F.when(F.col("score").isNull(), F.col("pos") + F.col("neg")))
+                   .alias("unscored")).first()
+    if r["unscored"]:
+        raise UnscoredRows(f"{r['unscored']} labelled rows have no score")
     cum = cumulative_sums(counts, "score", ["pos", "neg"], descending=True,
-                          rows_per_bucket=rows_per_bucket, n_rows=counts.count())
-    return cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"}), tot
+                          rows_per_bucket=rows_per_bucket, n_rows=r["rows"])
+    return (cum.withColumnsRenamed({"cum_pos": "tp", "cum_neg": "fp"}),
+            Totals(int(r["p"] or 0), int(r["n"] or 0)))
 
 
 def _lit(x) -> Column:
@@ -136,12 +145,18 @@ def pr_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFra
 
 def confusion_counts(df: DataFrame, threshold: float, label: str = "label",
                      score: str = "score") -> DataFrame:
-    """One row: tn, fp, fn, tp at ``score >= threshold``."""
+    """One row: tn, fp, fn, tp at ``score >= threshold``; fails on labelled rows without a score."""
     y = F.col(label)
     yhat = F.col(score) >= _lit(threshold)
-    return df.filter(y.isNotNull()).agg(
-        F.count_if((y == 0) & ~yhat).alias("tn"), F.count_if((y == 0) & yhat).alias("fp"),
-        F.count_if((y == 1) & ~yhat).alias("fn"), F.count_if((y == 1) & yhat).alias("tp"))
+    cells = {"tn": (y == 0) & ~yhat, "fp": (y == 0) & yhat, "fn": (y == 1) & ~yhat,
+             "tp": (y == 1) & yhat}
+    counted = df.filter(y.isNotNull()).agg(
+        F.count_if(F.col(score).isNull()).alias("unscored"),
+        *[F.count_if(c).alias(n) for n, c in cells.items()])
+    whole = F.col("unscored") == 0
+    fail = F.raise_error(F.concat(F.col("unscored").cast("string"),
+                                  F.lit(" labelled rows have no score"))).cast("bigint")
+    return counted.select(*[F.when(whole, F.col(n)).otherwise(fail).alias(n) for n in cells])
 
 
 def confusion_matrix(df: DataFrame, threshold: float = 0.5, label: str = "label",
@@ -209,6 +224,23 @@ def optimal_threshold(df: DataFrame, label: str = "label", score: str = "score")
                     "precision", "recall", "f1"))
 
 
+def optimal_report(df: DataFrame, label: str = "label", score: str = "score",
+                   names=CLASS_NAMES) -> DataFrame:
+    """The full class report at the threshold with the highest F1."""
+    return classification_report(df, _best_threshold(df, label, score), label, score, names)
+
+
+def optimal_confusion(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+    """The confusion matrix at the threshold with the highest F1."""
+    return confusion_matrix(df, _best_threshold(df, label, score), label, score)
+
+
+def _best_threshold(df: DataFrame, label: str, score: str) -> float:
+    # No score at all: nothing is predicted as class 1.
+    t = curve_metrics(df, label, score).first()["best_threshold"]
+    return math.inf if t is None else float(t)
+
+
 def model_comparison(scored: dict[str, DataFrame], threshold: float = 0.5, label: str = "label",
                      score: str = "score") -> DataFrame:
     """One row per model: ROC AUC, PR AUC, F1 of class 1 at the threshold.

@@ -89,7 +89,12 @@ def fit_plan(train: DataFrame, use_issue_date: bool = True,
     plan = FeaturePlan(raw_inputs=x_cols, use_issue_date=use_issue_date)
     post = feature_names_out(plan.engineering_stages(), x_cols)
     kinds = {f.name: column_kind(f.dataType) for f in train.schema.fields}
-    new_numeric = {"emp_length_num", "credit_hist_years"} | {f"{c}_binary" for c in COUNT_BINARY_COLUMNS}
+    # An engineered column is routed only if what it is made from is there: a count's flag
+    # needs the count, the history needs both dates.
+    binary = {f"{c}_binary" for c in COUNT_BINARY_COLUMNS if c in x_cols}
+    new_numeric = binary | ({"emp_length_num"} if "emp_length" in x_cols else set())
+    if {"issue_d", "earliest_cr_line"} <= set(x_cols):
+        new_numeric.add("credit_hist_years")
     numeric = [c for c in post if c in new_numeric or (kinds.get(c) == "numeric")]
     categorical = [c for c in post if kinds.get(c) == "categorical" and c not in new_numeric]
     orig_numeric = [c for c in x_cols if kinds.get(c) == "numeric"]
@@ -97,7 +102,6 @@ def fit_plan(train: DataFrame, use_issue_date: bool = True,
     if orig_numeric:
         from ..operators.profile import skew_partition
         skew = {r["column"]: r["skew"] for r in skew_partition(train, orig_numeric).collect()}
-    binary = {f"{c}_binary" for c in COUNT_BINARY_COLUMNS}
     plan.skewed = [c for c in numeric if c not in binary and skew.get(c) is not None
                    and abs(skew[c]) > skew_threshold]
     plan.standard = [c for c in numeric if c not in plan.skewed]

@@ -43,8 +43,11 @@ class Scorer:
         try:
             model = PipelineModel.load(m)
             plan = FeaturePlan.load(spark, p)
-        except Exception as e:  # noqa: BLE001
-            raise FileNotFoundError(f"no usable model artifact under {path}: {e}") from e
+        except Exception as e:  # Spark reports a missing path by several exception types
+            if not any(x in str(e) for x in ("PATH_NOT_FOUND", "does not exist", "No such file",
+                                             "InvalidInputException")):
+                raise
+            raise FileNotFoundError(f"no model artifact under {path}: {e}") from e
         return cls(model, plan)
 
     def required_columns(self) -> list[str]:
