@@ -19,14 +19,12 @@ from ..operators import clean, correlate, distribution, evaluate, profile, stabi
 from ..schema import BAD_STATUSES, EMP_LENGTH_YEARS, GOOD_STATUSES, MODEL_FEATURES
 from ..sources import fixture
 from ..sources.fixture import SPLIT_YEAR, duckdb_with
+from ..sources.loans import read_loans_csv, write_loans_csv
 
 # --- fixed values: the fixture's column groups --------------------------------
 NUM_COLS = ["loan_amnt", "int_rate", "annual_inc", "revol_util", "open_acc", "pub_rec",
-            "mort_acc", "mths_since_last_delinq", "policy_code"]
+            "mort_acc", "mths_since_last_delinq", "revol_bal", "pct_tl_nvr_dlq", "policy_code"]
 CAT_COLS = ["term", "grade", "sub_grade", "emp_length", "home_ownership", "addr_state"]
-HIST_COLS = ["int_rate", "open_acc", "revol_util"]
-KDE_COLS = ["int_rate", "open_acc"]
-BOX_COLS = ["loan_amnt", "int_rate", "annual_inc"]
 THRESHOLD = 0.5
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,9 +95,9 @@ def _union(parts: list[str]) -> str:
 _LOANS_COLS = ["id", "loan_amnt", "term", "int_rate", "grade", "sub_grade", "emp_length",
                "home_ownership", "addr_state", "annual_inc", "issue_d", "earliest_cr_line",
                "loan_status", "revol_util", "open_acc", "pub_rec", "mort_acc",
-               "mths_since_last_delinq", "policy_code"]
+               "mths_since_last_delinq", "revol_bal", "pct_tl_nvr_dlq", "policy_code"]
 _LOANS_DOUBLES = {"loan_amnt", "int_rate", "annual_inc", "revol_util", "mths_since_last_delinq",
-                  "policy_code"}
+                  "revol_bal", "pct_tl_nvr_dlq", "policy_code"}
 _LOANS_TYPES = {c: ("double" if c in _LOANS_DOUBLES else
                     "bigint" if c in ("id", "open_acc", "pub_rec", "mort_acc") else "string")
                 for c in _LOANS_COLS}
@@ -114,6 +112,30 @@ def q_scan_loans(spark, sf):
     return _loans(spark, sf)
 
 
+_HOSTILE_SQL = ("'He said \"' || coalesce(grade, '') || '\", then' || chr(10) || ' left; ' || "
+                "CASE WHEN id % 5 = 0 THEN '\"' ELSE ',' END")
+
+
+@register("scan_csv", duckdb_with("loans") + f"""SELECT CAST(id AS VARCHAR) AS id, {r6('loan_amnt')} AS loan_amnt,
+  term, {r6('int_rate')} AS int_rate, {_HOSTILE_SQL} AS "desc", home_ownership, CAST(NULL AS DOUBLE) AS dti FROM loans""")
+def q_scan_csv(spark, sf):
+    """The CSV reader over all loans: quotes, line breaks, another column order, a lacking column."""
+    loans = _loans(spark, sf)
+    text = F.concat(F.lit('He said "'), F.coalesce("grade", F.lit("")), F.lit('", then\n left; '),
+                    F.when(F.col("id") % 5 == 0, F.lit('"')).otherwise(F.lit(",")))
+    cols = ["desc", "int_rate", "id", "home_ownership", "term", "loan_amnt"]
+    path = _shared(spark, "loans-csv")
+    write_loans_csv(loans.withColumn("desc", text).select(*cols), path)
+    return read_loans_csv(spark, path).select("id", "loan_amnt", "term", "int_rate", "desc",
+                                              "home_ownership", "dti")
+
+
+def _shared(spark, name: str) -> str:
+    import uuid
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 @register("preview_head", duckdb_with("loans")
           + f"SELECT {_sel(_LOANS_COLS, _LOANS_DOUBLES)} FROM loans ORDER BY id LIMIT 5")
 def q_preview_head(spark, sf):
@@ -447,16 +469,17 @@ def q_high_corr_pairs(spark, sf):
 
 # --- distributions (A14-A16) ---------------------------------------------------
 @register("histogram", duckdb_with("definitive") + f"""
-, long AS ({_long_sql('definitive', HIST_COLS, cast='DOUBLE')}),
+, long AS ({_long_sql('definitive', NUM_COLS, cast='DOUBLE')}),
 e AS (SELECT column, count(*) AS n, min(value) AS mn, max(value) AS mx,
         quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.75) AS q75 FROM long GROUP BY column),
 e2 AS (SELECT column, n, mn, mx, mx - mn AS ptp,
         2::DOUBLE * (q75 - q25) * pow(CAST(n AS DOUBLE), -1::DOUBLE / 3::DOUBLE) AS fd,
+        (mx - mn) / sqrt(CAST(n AS DOUBLE)) / 2::DOUBLE AS half_sqrt,
         (mx - mn) / (log2(CAST(n AS DOUBLE)) + 1::DOUBLE) AS sturges FROM e),
 e3 AS (SELECT column, CASE WHEN ptp = 0 THEN mn - 0.5::DOUBLE ELSE mn END AS lo,
         CASE WHEN ptp = 0 THEN mx + 0.5::DOUBLE ELSE mx END AS hi,
-        CASE WHEN ptp = 0 THEN 1 ELSE greatest(1, CAST(ceil(ptp / CASE WHEN fd > 0 THEN least(fd, sturges)
-          ELSE sturges END) AS INTEGER)) END AS n_bins FROM e2),
+        CASE WHEN ptp = 0 THEN 1 ELSE greatest(1, CAST(ceil(ptp / least(greatest(fd, half_sqrt), sturges))
+          AS INTEGER)) END AS n_bins FROM e2),
 c AS (SELECT l.column, least(CAST(floor((l.value - e3.lo) * e3.n_bins / (e3.hi - e3.lo)) AS INTEGER),
         e3.n_bins - 1) AS bin, count(*) AS cnt FROM long l JOIN e3 ON l.column = e3.column GROUP BY 1, 2),
 g AS (SELECT column, lo, hi, n_bins, CAST(unnest(range(0, n_bins)) AS INTEGER) AS bin FROM e3)
@@ -465,28 +488,32 @@ SELECT g.column, g.bin, {r6('g.lo + g.bin * ((g.hi - g.lo) / g.n_bins)')} AS low
   CAST(coalesce(c.cnt, 0) AS BIGINT) AS count
 FROM g LEFT JOIN c ON g.column = c.column AND g.bin = c.bin""")
 def q_histogram(spark, sf):
-    return distribution.histogram(_definitive(spark, sf), HIST_COLS)
+    return distribution.histogram(_definitive(spark, sf), NUM_COLS)
 
 
 @register("kde_curve", duckdb_with("definitive") + f"""
-, long AS ({_long_sql('definitive', KDE_COLS, cast='DOUBLE')}),
-st AS (SELECT column, count(*) AS n, min(value) AS mn, max(value) AS mx, stddev_samp(value) AS sd
-       FROM long GROUP BY column),
-st2 AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2::DOUBLE) AS h FROM st),
-fine AS (SELECT l.column, coalesce(least(CAST(floor((l.value - s.mn) * 1024::DOUBLE / (s.mx - s.mn)) AS INTEGER),
-           1023), 0) AS fb, count(*) AS cnt FROM long l JOIN st s ON l.column = s.column GROUP BY 1, 2),
-pts AS (SELECT f.column, s.n, s.h, s.mn + (f.fb + 0.5::DOUBLE) * (s.mx - s.mn) / 1024::DOUBLE AS c, f.cnt, s.mn,
-          (s.mx - s.mn) / 199::DOUBLE AS step, p.point
-        FROM fine f JOIN st2 s ON f.column = s.column, range(0, 200) p(point) WHERE s.h > 0)
-SELECT column, CAST(point AS INTEGER) AS point, {r6('min(mn + point * step)')} AS x,
-  {r6('sum(cnt * exp(-0.5::DOUBLE * ((mn + point * step - c) / h) * ((mn + point * step - c) / h))) * (0.3989422804014327::DOUBLE / (n * h))')} AS density
-FROM pts GROUP BY column, point, n, h""")
+, long AS ({_long_sql('definitive', NUM_COLS, cast='DOUBLE')}),
+st AS (SELECT column, count(*) AS n, min(value) AS mn, max(value) AS mx,
+         stddev_samp(value) * pow(CAST(count(*) AS DOUBLE), -0.2::DOUBLE) AS h,
+         (max(value) - min(value)) / 199::DOUBLE AS step FROM long GROUP BY column),
+v AS (SELECT column, value, count(*) AS cnt FROM long GROUP BY column, value),
+k AS (SELECT v.column, p.point, sum(v.cnt * exp(-0.5::DOUBLE * pow((s.mn + p.point * s.step - v.value) / s.h, 2))) AS k
+      FROM v JOIN st s ON v.column = s.column AND s.h > 0, range(0, 200) p(point) GROUP BY ALL)
+SELECT k.column, CAST(point AS INTEGER) AS point, {r6('mn + point * step')} AS x,
+  {r6('k / (n * h) * 0.3989422804014327::DOUBLE')} AS density,
+  {r6('k / (n * h) * 0.3989422804014327::DOUBLE * step * 1000::DOUBLE')} AS permille
+FROM k JOIN st ON k.column = st.column""")
 def q_kde_curve(spark, sf):
-    return distribution.kde_curve(_definitive(spark, sf), KDE_COLS)
+    """Density, and the share of the mass on each grid step in 1/1000 (which no rounding hides)."""
+    from pyspark.sql import Window
+    k = distribution.kde_curve(_definitive(spark, sf), NUM_COLS)
+    w = Window.partitionBy("column")   # 200 rows each
+    step = (F.max("x").over(w) - F.min("x").over(w)) / F.lit(199.0)
+    return k.withColumn("permille", F.col("density") * step * F.lit(1000.0))
 
 
 @register("box_stats", duckdb_with("definitive") + f"""
-, long AS ({_union([f"SELECT is_bad, '{c}' AS column, CAST({c} AS DOUBLE) AS value FROM definitive WHERE {c} IS NOT NULL AND is_bad IS NOT NULL" for c in BOX_COLS])}),
+, long AS ({_union([f"SELECT is_bad, '{c}' AS column, CAST({c} AS DOUBLE) AS value FROM definitive WHERE {c} IS NOT NULL AND is_bad IS NOT NULL" for c in NUM_COLS])}),
 q AS (SELECT is_bad, column, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
         quantile_cont(value, 0.75) AS q3 FROM long GROUP BY is_bad, column),
 f AS (SELECT *, q1 - 1.5::DOUBLE * (q3 - q1) AS lo_f, q3 + 1.5::DOUBLE * (q3 - q1) AS hi_f FROM q)
@@ -497,7 +524,7 @@ SELECT l.is_bad, l.column, {r6('f.q1')} AS q1, {r6('f.median')} AS median, {r6('
 FROM long l JOIN f ON l.is_bad = f.is_bad AND l.column = f.column
 GROUP BY l.is_bad, l.column, f.q1, f.median, f.q3""")
 def q_box_stats(spark, sf):
-    return distribution.box_stats(_definitive(spark, sf), BOX_COLS, "is_bad")
+    return distribution.box_stats(_definitive(spark, sf), NUM_COLS, "is_bad")
 
 
 # --- evaluation on the test side of the score fixture (W1-W4, E1-E7) ----------
@@ -533,12 +560,15 @@ def q_f1_by_threshold(spark, sf):
     return evaluate.f1_by_threshold(_test_scores(spark, sf))
 
 
+# ROC by the rank sum (average ranks of ties), PR by the trapezoid over the curve's points.
 _METRICS = _CURVE + """
-, m AS (SELECT
-    sum(neg * (tp - pos) + 0.5::DOUBLE * pos * neg) / (max(P) * max(N)) AS roc_auc,
-    sum(pos / P * ((tp / (tp + fp)) + CASE WHEN tp - pos + fp - neg = 0 THEN 1::DOUBLE
-        ELSE (tp - pos) / (tp - pos + fp - neg) END) / 2::DOUBLE) AS pr_auc
-  FROM cum, tot),
+, ranked AS (SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2::DOUBLE AS r
+             FROM t WHERE score IS NOT NULL AND label IS NOT NULL),
+points AS (SELECT tp / P AS recall, tp / (tp + fp) AS prec, score FROM cum, tot),
+steps AS (SELECT (recall - lag(recall, 1, 0::DOUBLE) OVER (ORDER BY score DESC))
+            * (prec + lag(prec, 1, 1::DOUBLE) OVER (ORDER BY score DESC)) / 2::DOUBLE AS area FROM points),
+m AS (SELECT pr_auc, (rank_sum - P * (P + 1) / 2::DOUBLE) / (P * N) AS roc_auc FROM tot,
+        (SELECT sum(r) AS rank_sum FROM ranked WHERE label = 1), (SELECT sum(area) AS pr_auc FROM steps)),
 b AS (SELECT 2::DOUBLE * tp / (tp + fp + P) AS best_f1, score AS best_threshold
       FROM cum, tot ORDER BY best_f1 DESC, score ASC LIMIT 1)
 """
@@ -575,9 +605,12 @@ def _confusion_sql(threshold_expr: str) -> str:
 _T = f"{THRESHOLD}::DOUBLE"
 
 
-@register("confusion_matrix", duckdb_with("scored") + _confusion_sql(_T) + """
+_CELLS = """
 SELECT 0 AS actual, 0 AS predicted, tn AS count FROM cm UNION ALL SELECT 0, 1, fp FROM cm
-UNION ALL SELECT 1, 0, fn FROM cm UNION ALL SELECT 1, 1, tp FROM cm""")
+UNION ALL SELECT 1, 0, fn FROM cm UNION ALL SELECT 1, 1, tp FROM cm"""
+
+
+@register("confusion_matrix", duckdb_with("scored") + _confusion_sql(_T) + _CELLS)
 def q_confusion_matrix(spark, sf):
     return evaluate.confusion_matrix(_test_scores(spark, sf), THRESHOLD)
 
@@ -593,7 +626,7 @@ def q_f1_bad(spark, sf):
     return evaluate.f1_bad(_test_scores(spark, sf), THRESHOLD)
 
 
-_REPORT = duckdb_with("scored") + _confusion_sql(_T) + """
+_REPORT_TAIL = """
 , k AS (SELECT *, coalesce(tn / CAST(tn + fn AS DOUBLE), 0::DOUBLE) AS p0, coalesce(tn / CAST(tn + fp AS DOUBLE), 0::DOUBLE) AS r0,
           coalesce(tp / CAST(tp + fp AS DOUBLE), 0::DOUBLE) AS p1, coalesce(tp / CAST(tp + fn AS DOUBLE), 0::DOUBLE) AS r1,
           tn + fp AS s0, fn + tp AS s1, tn + fp + fn + tp AS n FROM cm),
@@ -602,13 +635,16 @@ k2 AS (SELECT *, coalesce(2::DOUBLE * p0 * r0 / (p0 + r0), 0::DOUBLE) AS f0,
 """
 
 
-@register("classification_report", _REPORT + f"""
+_REPORT_ROWS = f"""
 SELECT 'Good Loan (0)' AS row, {r6('p0')} AS precision, {r6('r0')} AS recall, {r6('f0')} AS f1, s0 AS support FROM k2
 UNION ALL SELECT 'Bad Loan (1)', {r6('p1')}, {r6('r1')}, {r6('f1')}, s1 FROM k2
 UNION ALL SELECT 'accuracy', NULL, NULL, {r6('(tn + tp) / CAST(n AS DOUBLE)')}, n FROM k2
 UNION ALL SELECT 'macro avg', {r6('(p0 + p1) / 2')}, {r6('(r0 + r1) / 2')}, {r6('(f0 + f1) / 2')}, n FROM k2
 UNION ALL SELECT 'weighted avg', {r6('(p0 * s0 + p1 * s1) / n')}, {r6('(r0 * s0 + r1 * s1) / n')},
-  {r6('(f0 * s0 + f1 * s1) / n')}, n FROM k2""")
+  {r6('(f0 * s0 + f1 * s1) / n')}, n FROM k2"""
+
+
+@register("classification_report", duckdb_with("scored") + _confusion_sql(_T) + _REPORT_TAIL + _REPORT_ROWS)
 def q_classification_report(spark, sf):
     return evaluate.classification_report(_test_scores(spark, sf), THRESHOLD)
 
@@ -619,6 +655,20 @@ def q_optimal_threshold(spark, sf):
     return evaluate.optimal_threshold(_test_scores(spark, sf))
 
 
+def _report_sql(threshold: str, curve: str = duckdb_with("scored")) -> str:
+    return curve + _confusion_sql(threshold) + _REPORT_TAIL + _REPORT_ROWS
+
+
+@register("optimal_report", _report_sql("(SELECT best_threshold FROM b)", _METRICS))
+def q_optimal_report(spark, sf):
+    return evaluate.optimal_report(_test_scores(spark, sf))
+
+
+@register("optimal_confusion", _METRICS + _confusion_sql("(SELECT best_threshold FROM b)") + _CELLS)
+def q_optimal_confusion(spark, sf):
+    return evaluate.optimal_confusion(_test_scores(spark, sf))
+
+
 @register("no_skill", duckdb_with("scored")
           + f"SELECT {r6('avg(CAST(label AS DOUBLE))')} AS no_skill FROM scored WHERE side = 'test'")
 def q_no_skill(spark, sf):
@@ -712,8 +762,12 @@ def q_count_binarize(spark, sf):
 
 
 _FE_STAGES = lambda: [X.EmpLengthConverter(), X.CreditHistoryCalculator(), X.CountBinarizer()]
-_X_COLS = [c for c in _PLAN_COLS]
-_FE_NAMES = X.feature_names_out(_FE_STAGES(), _X_COLS)
+# Written by hand from the steps: the employment text, both dates and the counts go, what is
+# made of them follows at the end.
+_FE_NAMES = ["loan_amnt", "term", "int_rate", "grade", "sub_grade", "home_ownership", "addr_state",
+             "annual_inc", "revol_util", "open_acc", "revol_bal", "pct_tl_nvr_dlq",
+             "emp_length_num", "credit_hist_years", "pub_rec_binary", "mort_acc_binary",
+             "pub_rec_bankruptcies_binary"]
 
 
 @register("feature_names", duckdb_with("definitive") + _union([
@@ -729,20 +783,28 @@ def q_feature_names(spark, sf):
 YJ_LAMBDA = 0.5
 
 
-@register("yeo_johnson", duckdb_with("definitive") + f"""
-SELECT id, {r6(f"CASE WHEN annual_inc >= 0 THEN (pow(annual_inc + 1::DOUBLE, {YJ_LAMBDA}::DOUBLE) - 1::DOUBLE) / {YJ_LAMBDA}::DOUBLE ELSE -(pow(1::DOUBLE - annual_inc, {2 - YJ_LAMBDA}::DOUBLE) - 1::DOUBLE) / {2 - YJ_LAMBDA}::DOUBLE END")} AS annual_inc_yj
-FROM definitive""")
+def _yj_sql(x: str, lam: str) -> str:
+    """Yeo-Johnson of SQL expression ``x`` at ``lam``, all branches."""
+    return (f"CASE WHEN {x} >= 0 THEN CASE WHEN {lam} = 0 THEN ln(1::DOUBLE + {x}) "
+            f"ELSE (pow({x} + 1::DOUBLE, {lam}) - 1::DOUBLE) / {lam} END "
+            f"WHEN {lam} = 2 THEN -ln(1::DOUBLE - {x}) "
+            f"ELSE -(pow(1::DOUBLE - {x}, 2::DOUBLE - {lam}) - 1::DOUBLE) / (2::DOUBLE - {lam}) END")
+
+
+@register("yeo_johnson", duckdb_with("definitive") + "SELECT id, " + ", ".join(
+    r6(_yj_sql(_d(c), f"{YJ_LAMBDA}::DOUBLE")) + f" AS {c}" for c in NUM_COLS) + " FROM definitive")
 def q_yeo_johnson(spark, sf):
     from ..functions.scalar import yeo_johnson
-    return _definitive(spark, sf).select("id", yeo_johnson("annual_inc", YJ_LAMBDA).alias("annual_inc_yj"))
+    return _definitive(spark, sf).select("id", *[
+        yeo_johnson(F.col(c).cast("double"), YJ_LAMBDA).alias(c) for c in NUM_COLS])
 
 
-_SCALE_COLS = ["loan_amnt", "annual_inc", "revol_util"]
+_SCALE_COLS = NUM_COLS
 
 
 @register("standard_scale", duckdb_with("definitive") + """
-, med AS (SELECT """ + ", ".join(f"quantile_cont({c}, 0.5) AS m_{c}" for c in _SCALE_COLS) + """ FROM definitive),
-filled AS (SELECT id, """ + ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _SCALE_COLS) + """ FROM definitive, med),
+, med AS (SELECT """ + ", ".join(f"quantile_cont({_d(c)}, 0.5) AS m_{c}" for c in _SCALE_COLS) + """ FROM definitive),
+filled AS (SELECT id, """ + ", ".join(f"coalesce({_d(c)}, m_{c}) AS {c}" for c in _SCALE_COLS) + """ FROM definitive, med),
 mom AS (SELECT """ + ", ".join(f"avg({c}) AS mu_{c}, stddev_pop({c}) AS sd_{c}" for c in _SCALE_COLS) + """ FROM filled)
 SELECT id, """ + ", ".join(r6(f"({c} - mu_{c}) / CASE WHEN sd_{c} = 0 THEN 1::DOUBLE ELSE sd_{c} END") + f" AS {c}"
                             for c in _SCALE_COLS) + " FROM filled, mom")
@@ -751,36 +813,55 @@ def q_standard_scale(spark, sf):
     return X.StandardNumericScaler(inputCols=_SCALE_COLS).fit(d).transform(d).select("id", *_SCALE_COLS)
 
 
-@register("ordinal_encode", duckdb_with("definitive") + """
-, lv AS (SELECT "column", level, CAST(row_number() OVER (PARTITION BY "column" ORDER BY
-      CASE WHEN "column" = 'sub_grade' THEN substr(level, 1, 1) ELSE level END,
-      CASE WHEN "column" = 'sub_grade' THEN TRY_CAST(substr(level, 2) AS INTEGER) END, level) - 1 AS DOUBLE) AS code
-    FROM (SELECT DISTINCT 'grade' AS "column", grade AS level FROM definitive WHERE grade IS NOT NULL
-          UNION SELECT DISTINCT 'sub_grade', sub_grade FROM definitive WHERE sub_grade IS NOT NULL))
+def _train_sql(view: str = "definitive") -> str:
+    return f"train AS (SELECT * FROM {view} WHERE issue_year < {SPLIT_YEAR})"
+
+
+def _mode_sql(c: str) -> str:
+    """The most frequent training value, the smallest on ties."""
+    return (f"(SELECT {c} FROM train WHERE {c} IS NOT NULL GROUP BY {c} "
+            f"ORDER BY count(*) DESC, {c} LIMIT 1)")
+
+
+def _code_sql(c: str) -> str:
+    key = (f"substr({c}, 1, 1), TRY_CAST(substr({c}, 2) AS INTEGER), {c}" if c == "sub_grade" else c)
+    return (f"lv_{c} AS (SELECT {c} AS level, CAST(row_number() OVER (ORDER BY {key}) - 1 AS DOUBLE) AS code "
+            f"FROM (SELECT DISTINCT {c} FROM train WHERE {c} IS NOT NULL))")
+
+
+@register("ordinal_encode", duckdb_with("definitive") + f"""
+, {_train_sql()}, {_code_sql('grade')}, {_code_sql('sub_grade')},
+filled AS (SELECT id, coalesce(grade, {_mode_sql('grade')}) AS grade,
+             coalesce(sub_grade, {_mode_sql('sub_grade')}) AS sub_grade FROM definitive)
 SELECT d.id, coalesce(g.code, -1::DOUBLE) AS grade, coalesce(s.code, -1::DOUBLE) AS sub_grade
-FROM definitive d LEFT JOIN lv g ON g."column" = 'grade' AND g.level = d.grade
-LEFT JOIN lv s ON s."column" = 'sub_grade' AND s.level = d.sub_grade""")
+FROM filled d LEFT JOIN lv_grade g ON g.level = d.grade LEFT JOIN lv_sub_grade s ON s.level = d.sub_grade""")
 def q_ordinal_encode(spark, sf):
-    d = _definitive(spark, sf)
-    return X.OrdinalLevelEncoder(inputCols=["grade", "sub_grade"]).fit(d).transform(d).select(
+    """Levels of the training years over all years: nulls take the mode, unseen levels -1."""
+    d, train = _definitive(spark, sf), _train_test(spark, sf)[0]
+    return X.OrdinalLevelEncoder(inputCols=["grade", "sub_grade"]).fit(train).transform(d).select(
         "id", "grade", "sub_grade")
 
 
-_OHE = {"term": 2, "home_ownership": 5}
+_OHE = ["term", "home_ownership", "addr_state"]
 
 
-@register("one_hot", duckdb_with("definitive") + ", ix AS (SELECT id, " + ", ".join(
-    f"dense_rank() OVER (ORDER BY {c}) - 1 AS {c}_i" for c in _OHE) + " FROM definitive)\nSELECT id, " + ", ".join(
-    f"CASE WHEN {c}_i = {k} THEN 1::DOUBLE ELSE 0::DOUBLE END AS {c}_{k}" for c, n in _OHE.items()
-    for k in range(n)) + " FROM ix")
+@register("one_hot", duckdb_with("definitive") + f", {_train_sql()}, " + ", ".join(
+    f"lv_{c} AS (SELECT {c} AS level, row_number() OVER (ORDER BY {c}) - 1 AS code, count(*) OVER () AS width "
+    f"FROM (SELECT DISTINCT {c} FROM train WHERE {c} IS NOT NULL))" for c in _OHE) + "\n" + _union([
+        f"SELECT d.id, '{c}' AS column, CAST((SELECT max(width) FROM lv_{c}) AS INTEGER) AS width, "
+        f"CAST(coalesce(l.code, -1) AS INTEGER) AS hot, CASE WHEN l.code IS NULL THEN 0::DOUBLE ELSE 1::DOUBLE END AS total "
+        f"FROM definitive d LEFT JOIN lv_{c} l ON l.level = coalesce(d.{c}, {_mode_sql(c)})" for c in _OHE]))
 def q_one_hot(spark, sf):
+    """Width, place of the one and sum of every indicator vector; levels from the training years."""
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
-    d = _definitive(spark, sf)
-    cols = list(_OHE)
-    out = Pipeline(stages=X.one_hot_stages(cols)).fit(d).transform(d)
-    return out.select("id", *[vector_to_array(f"{c}__ohe")[k].alias(f"{c}_{k}")
-                              for c, n in _OHE.items() for k in range(n)])
+    d, train = _definitive(spark, sf), _train_test(spark, sf)[0]
+    out = Pipeline(stages=X.one_hot_stages(_OHE)).fit(train).transform(d)
+    long = out.select("id", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), vector_to_array(f"{c}__ohe").alias("v")) for c in _OHE])))
+    return long.select("id", "column", F.size("v").alias("width"),
+                       (F.array_position("v", F.lit(1.0)) - 1).cast("int").alias("hot"),
+                       F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total"))
 
 
 def _train_test(spark, sf):
@@ -789,9 +870,10 @@ def _train_test(spark, sf):
 
 # Post-engineering columns of the fixture's X in order, with their kind:
 # orig = original numeric (routed by skew), new = engineered numeric (standard).
-_PLAN_CANDIDATES = ([(c, "orig") for c in ["loan_amnt", "int_rate", "annual_inc", "revol_util", "open_acc"]]
+_PLAN_CANDIDATES = ([(c, "orig") for c in ["loan_amnt", "int_rate", "annual_inc", "revol_util", "open_acc",
+                                           "revol_bal", "pct_tl_nvr_dlq"]]
                     + [(c, "new") for c in ["emp_length_num", "credit_hist_years", "pub_rec_binary",
-                                            "mort_acc_binary", "pub_rec_bankruptcies_binary"]]
+                                            "mort_acc_binary"]]
                     + [("grade", "ord"), ("sub_grade", "ord")]
                     + [(c, "ohe") for c in ["term", "home_ownership", "addr_state"]])
 _SKEW_SQL = _union([
@@ -814,36 +896,88 @@ def q_feature_plan(spark, sf):
     return plan_frame(spark, fit_plan(train))
 
 
-_SKEW_DEMO = ["annual_inc", "revol_util", "loan_amnt"]
+_SKEW_DEMO = ["annual_inc", "revol_util", "loan_amnt", "revol_bal", "pct_tl_nvr_dlq"]
+# Points that reach past the first bracket of the search.
+_YJ_GRID = [-0.5, 0.0, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 10.0, 23.0]
+_YJ_FILLED = ("long AS (" + _union([
+    f"SELECT '{c}' AS column, coalesce({_d(c)}, (SELECT quantile_cont({_d(c)}, 0.5) FROM definitive)) AS x "
+    f"FROM definitive" for c in _SKEW_DEMO]) + ")")
 
 
-@register("skew_reduction")
-def q_skew_reduction(spark, sf):
-    """Skew before/after median imputation + Yeo-Johnson (X11)."""
+def _yj_loglik_sql(grid: str) -> str:
+    """(column, lam, ll): log-likelihood per row at every λ of a relation ``g(lam)``."""
+    return (f"SELECT column, lam, -ln(var_pop({_yj_sql('x', 'lam')})) / 2::DOUBLE "
+            f"+ (lam - 1::DOUBLE) * avg(sign(x) * ln(1::DOUBLE + abs(x))) AS ll "
+            f"FROM long, {grid} GROUP BY column, lam")
+
+
+def _filled_demo(spark, sf) -> DataFrame:
     d = _definitive(spark, sf)
     med = X.fit_medians(d, _SKEW_DEMO)
-    filled = d.withColumns({c: F.coalesce(F.col(c), F.lit(m)) for c, m in zip(_SKEW_DEMO, med)})
+    return d.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m))
+                          for c, m in zip(_SKEW_DEMO, med)})
+
+
+@register("yeo_johnson_likelihood", duckdb_with("definitive") + f", {_YJ_FILLED}\n" + "SELECT column, "
+          "lam AS lambda, round(ll, 4) AS log_likelihood FROM ("
+          + _yj_loglik_sql(f"(SELECT unnest({_YJ_GRID}::DOUBLE[]) AS lam) g") + ")")
+def q_yeo_johnson_likelihood(spark, sf):
+    """Log-likelihood per row of every skewed column on a fixed grid of λ."""
+    got = X.yeo_johnson_likelihoods(_filled_demo(spark, sf), {c: _YJ_GRID for c in _SKEW_DEMO})
+    each = got.select("column", "n", "t", F.posexplode("v").alias("i", "var"))
+    lam = F.element_at(F.array(*[F.lit(v) for v in _YJ_GRID]), F.col("i") + 1)
+    return each.select("column", lam.alias("lambda"),
+                       F.round(-F.log("var") / 2 + (lam - 1) * F.col("t") / F.col("n"), 4)
+                       .alias("log_likelihood"))
+
+
+# The best λ by grids in SQL: steps of 0.25 on [-2, 24], then 0.01 and 0.001 around the best.
+# A spread below the rounding of the mapped values has no likelihood.
+def _yj_refine(source: str, name: str, step: float, below: float, above: float) -> str:
+    y = _yj_sql('x', 'lam')
+    return (f"{name} AS (SELECT column, arg_max(lam, ll) AS lam FROM (SELECT column, lam, "
+            f"CASE WHEN var_pop({y}) > pow(1e-10 * avg({y}), 2) THEN -ln(var_pop({y})) / 2::DOUBLE "
+            f"+ (lam - 1::DOUBLE) * avg(sign(x) * ln(1::DOUBLE + abs(x))) END AS ll "
+            f"FROM (SELECT l.column, l.x, s.lam + r.i * {step}::DOUBLE AS lam "
+            f"FROM long l JOIN {source} s ON l.column = s.column, "
+            f"range({round(-below / step)}, {round(above / step) + 1}) r(i)) GROUP BY column, lam) "
+            f"GROUP BY column)")
+
+
+_YJ_BEST = ("origin AS (SELECT DISTINCT column, 0::DOUBLE AS lam FROM long), "
+            + _yj_refine("origin", "b1", 0.25, 2, 24) + ", " + _yj_refine("b1", "b2", 0.01, 0.25, 0.25)
+            + ", " + _yj_refine("b2", "best", 0.001, 0.01, 0.01))
+
+
+@register("skew_reduction", duckdb_with("definitive") + f", {_YJ_FILLED}, {_YJ_BEST}\n" + f"""
+SELECT l.column, {r6('skewness(x)')} AS skew_before, abs(skewness({_yj_sql('x', 'lam')})) < abs(skewness(x)) AS reduced,
+  round(skewness({_yj_sql('x', 'lam')}), 1) AS skew_after
+FROM long l JOIN best b ON l.column = b.column GROUP BY l.column""")
+def q_skew_reduction(spark, sf):
+    """Skew before and after median imputation + Yeo-Johnson (X11)."""
+    filled = _filled_demo(spark, sf)
     lams = X.fit_yeo_johnson_lambdas(filled, _SKEW_DEMO)
     from ..functions.scalar import yeo_johnson
     after = filled.select(*[yeo_johnson(c, lam).alias(c) for c, lam in zip(_SKEW_DEMO, lams)])
-    b = {r["column"]: r["skewness"] for r in profile.moments(filled, _SKEW_DEMO).collect()}
-    a = {r["column"]: r["skewness"] for r in profile.moments(after, _SKEW_DEMO).collect()}
-    return spark.createDataFrame([(c, b[c], a[c], float(lam)) for c, lam in zip(_SKEW_DEMO, lams)],
-                                 "column string, skew_before double, skew_after double, lambda double")
+    b = profile.moments(filled, _SKEW_DEMO).select("column", F.col("skewness").alias("skew_before"))
+    a = profile.moments(after, _SKEW_DEMO).select("column", F.col("skewness").alias("after"))
+    return b.join(a, "column").select(
+        "column", "skew_before", (F.abs("after") < F.abs("skew_before")).alias("reduced"),
+        F.round("after", 1).alias("skew_after"))
 
 
-@register("yeo_johnson_fit")
+@register("yeo_johnson_fit", duckdb_with("definitive") + f", {_YJ_FILLED}, {_YJ_BEST}\n"
+          "SELECT column, round(lam, 2) AS lambda FROM best")
 def q_yeo_johnson_fit(spark, sf):
     d = _definitive(spark, sf)
     m = X.SkewedNumericScaler(inputCols=_SKEW_DEMO).fit(d)
     return spark.createDataFrame(
-        [(c, float(lam), float(mu), float(sd)) for c, lam, mu, sd in
-         zip(_SKEW_DEMO, m.getOrDefault("lambdas"), m.getOrDefault("means"), m.getOrDefault("stds"))],
-        "column string, lambda double, mean double, std double")
+        [(c, round(lam, 2)) for c, lam in zip(_SKEW_DEMO, m.getOrDefault("lambdas"))],
+        "column string, lambda double")
 
 
 # --- models, scoring, persistence (X9, X12, L1-L5, E9, E10, S6, S7, B1-B4) -------
-REGISTRY_TREES = 10
+# Fitted models are memoised per session and folder, as several queries ask about one model.
 _FITTED: dict = {}
 
 
@@ -854,9 +988,7 @@ def _fitted(spark, sf, kind: str):
     hit = _FITTED.get(key)
     if hit is None or hit[0] is not spark:
         train, _ = _train_test(spark, sf)
-        clf = {"gbt": lambda: M.baseline_booster(max_iter=REGISTRY_TREES),
-               "second": lambda: M.second_learner(num_trees=20),
-               "tuned": lambda: M.tuned_booster(max_iter=REGISTRY_TREES)}[kind]()
+        clf = {"gbt": M.baseline_booster, "second": M.second_learner, "tuned": M.tuned_booster}[kind]()
         hit = _FITTED[key] = (spark, M.fit_pipeline(train, clf))
     return hit[1]
 
@@ -865,97 +997,192 @@ def _test_rows(spark, sf):
     return _definitive(spark, sf).filter(F.col("issue_year") >= SPLIT_YEAR)
 
 
-def _model_scores(spark, sf, kind: str, rows=None) -> DataFrame:
+def _model_scores(spark, sf, kind: str, rows=None, keep=("id", "is_bad")) -> DataFrame:
     from .. import model as M
     mdl, _ = _fitted(spark, sf, kind)
     rows = rows if rows is not None else _test_rows(spark, sf)
-    return (M.predict_proba(mdl, rows, keep=["id", "is_bad"])
-            .select("id", F.col("is_bad").alias("label"), F.col("probability").alias("score")))
+    return M.predict_proba(mdl, rows, keep=list(keep)).withColumnsRenamed(
+        {"is_bad": "label", "probability": "score"})
+
+
+_N_TEST = f"(SELECT count(*) FROM definitive WHERE issue_year >= {SPLIT_YEAR})"
+
+
+def _metrics_sql(*kinds: str) -> str:
+    return _union([f"SELECT '{k}' AS model, {_N_TEST} AS n_rows, true AS above_chance, true AS auc_by_ranks, "
+                   f"true AS in_range FROM (SELECT 1 FROM definitive LIMIT 1)" for k in kinds])
 
 
 def _model_metrics(spark, sf, kind: str) -> DataFrame:
-    s = _model_scores(spark, sf, kind).persist()   # curves and F1 read the same scores
+    """Facts that must hold of a fitted model: rows scored, AUC above chance, AUC equal to the
+    rank formula computed another way, metrics in range."""
+    from pyspark.sql import Window
+    s = _model_scores(spark, sf, kind).persist()   # curves, F1 and ranks read the same scores
     try:
-        return evaluate.model_comparison({kind: s}, THRESHOLD)
+        m = evaluate.model_comparison({kind: s}, THRESHOLD).first()
+        # Average ranks from the counts per distinct score, in buckets (no global window).
+        from ..operators.ordered import cumulative_sums
+        c = s.groupBy("score").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("p"))
+        r = cumulative_sums(c, "score", ["n"]).agg(
+            F.sum(F.col("p") * (F.col("cum_n") - (F.col("n") - 1) / 2)).alias("ranks"),
+            F.sum("p").alias("p"), F.sum("n").alias("n")).first()
+        auc = (r["ranks"] - r["p"] * (r["p"] + 1) / 2) / (r["p"] * (r["n"] - r["p"]))
+        rows = [(kind, int(r["n"]), m["roc_auc"] > 0.5, abs(auc - m["roc_auc"]) < 1e-9,
+                 all(0 <= m[x] <= 1 for x in ("roc_auc", "pr_auc", "f1_bad")))]
     finally:
         s.unpersist()
+    return spark.createDataFrame(
+        rows, "model string, n_rows bigint, above_chance boolean, auc_by_ranks boolean, in_range boolean")
 
 
-@register("fit_gbt")
+@register("fit_gbt", duckdb_with("definitive") + _metrics_sql("gbt"))
 def q_fit_gbt(spark, sf):
     return _model_metrics(spark, sf, "gbt")
 
 
-@register("fit_second")
+@register("fit_second", duckdb_with("definitive") + _metrics_sql("second"))
 def q_fit_second(spark, sf):
     return _model_metrics(spark, sf, "second")
 
 
-@register("fit_tuned")
+@register("fit_tuned", duckdb_with("definitive") + _metrics_sql("tuned"))
 def q_fit_tuned(spark, sf):
     return _model_metrics(spark, sf, "tuned")
 
 
-@register("fit_pipeline")
-def q_fit_pipeline(spark, sf):
-    """Stage list of the fitted end-to-end pipeline."""
-    mdl, _ = _fitted(spark, sf, "gbt")
-    return spark.createDataFrame([(i, type(s).__name__) for i, s in enumerate(mdl.stages)],
-                                 "position int, stage string")
+@register("model_comparison", duckdb_with("definitive") + _metrics_sql("gbt", "second"))
+def q_model_comparison(spark, sf):
+    return _model_metrics(spark, sf, "gbt").unionByName(_model_metrics(spark, sf, "second"))
+
 
+# Skew of the original numeric columns over the training years routes them.
+_SKEWED_SQL = f"skewed AS (SELECT column FROM ({_SKEW_SQL}) WHERE abs(skew) > 0.75::DOUBLE)"
+_N_HOT = " + ".join(f"(SELECT count(DISTINCT {c}) FROM train)" for c in _OHE)
 
-@register("assemble_features")
+
+@register("fit_pipeline", duckdb_with("definitive") + f""", {_train_sql()}, {_SKEWED_SQL}
+SELECT {_N_TEST} AS n_rows, CAST({sum(k in ('orig', 'new', 'ord') for _, k in _PLAN_CANDIDATES)} + {_N_HOT} AS INTEGER) AS n_features,
+  CAST((SELECT count(*) FROM skewed) AS INTEGER) AS n_skewed, 0::BIGINT AS n_missing""")
+def q_fit_pipeline(spark, sf):
+    """Of the fitted end-to-end pipeline (X12): rows, width of the vector, columns in the skewed
+    branch, and vector entries that are missing."""
+    from pyspark.ml.functions import vector_to_array
+    mdl, plan = _fitted(spark, sf, "gbt")
+    v = mdl.transform(_test_rows(spark, sf)).select(vector_to_array("features").alias("v"))
+    return v.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.size("v")).alias("n_features"),
+                 F.lit(len(plan.skewed)).alias("n_skewed"),
+                 F.count_if(F.exists("v", lambda x: F.isnan(x) | x.isNull())).alias("n_missing"))
+
+
+# Inputs of the numeric columns that are standardised as they are, over all years.
+_ENGINEERED = {"emp_length_num": _EMP_SQL, "credit_hist_years":
+               "greatest(coalesce(datediff('day', earliest_cr_line, issue_d) / 365.25::DOUBLE, 0::DOUBLE), 0::DOUBLE)",
+               "pub_rec_binary": "coalesce(CAST(pub_rec > 0 AS INTEGER), 0)",
+               "mort_acc_binary": "coalesce(CAST(mort_acc > 0 AS INTEGER), 0)"}
+_STANDARD_SQL = _union([
+    f"SELECT id, issue_year, '{c}' AS column, CAST({_ENGINEERED.get(c, c)} AS DOUBLE) AS x FROM definitive "
+    f"WHERE '{c}' NOT IN (SELECT column FROM skewed)" for c, k in _PLAN_CANDIDATES if k in ("orig", "new")])
+
+
+@register("assemble_features", duckdb_with("definitive") + f"""
+, {_train_sql()}, {_SKEWED_SQL}, {_code_sql('grade')}, {_code_sql('sub_grade')},
+std AS ({_STANDARD_SQL}),
+med AS (SELECT column, quantile_cont(x, 0.5) AS med FROM std WHERE issue_year < {SPLIT_YEAR} GROUP BY column),
+fill AS (SELECT s.id, s.issue_year, s.column, coalesce(s.x, m.med) AS x FROM std s JOIN med m ON s.column = m.column),
+mom AS (SELECT column, avg(x) AS mu, stddev_pop(x) AS sd FROM fill WHERE issue_year < {SPLIT_YEAR} GROUP BY column),
+test AS (SELECT * FROM definitive WHERE issue_year >= {SPLIT_YEAR})
+SELECT f.id, f.column AS feature, {r6('(f.x - mu) / CASE WHEN sd = 0 THEN 1::DOUBLE ELSE sd END')} AS value
+FROM fill f JOIN mom ON f.column = mom.column WHERE f.issue_year >= {SPLIT_YEAR}
+""" + "".join(f"""UNION ALL SELECT d.id, '{c}', coalesce(l.code, -1::DOUBLE) FROM test d
+LEFT JOIN lv_{c} l ON l.level = coalesce(d.{c}, {_mode_sql(c)})
+""" for c in ("grade", "sub_grade")) + "".join(f"""UNION ALL SELECT id, '{c}=' || v, 1::DOUBLE FROM
+(SELECT id, coalesce({c}, {_mode_sql(c)}) AS v FROM test) WHERE v IN (SELECT {c} FROM train)
+""" for c in _OHE))
 def q_assemble_features(spark, sf):
-    """Assembled feature vectors of the test rows."""
+    """Assembled vectors of the test rows (X9) as (id, feature, value): standardised columns, codes
+    and the ones among the indicators. Skewed columns: see ``yeo_johnson_fit``."""
     from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import StringIndexerModel
     from pyspark.ml.functions import vector_to_array
-    mdl, _ = _fitted(spark, sf, "gbt")
-    prep = PipelineModel(stages=mdl.stages[:-1])
-    return prep.transform(_test_rows(spark, sf)).select("id", vector_to_array("features").alias("features"))
+    mdl, plan = _fitted(spark, sf, "gbt")
+    labels = next(st for st in mdl.stages if isinstance(st, StringIndexerModel)).labelsArray
+    names = [*plan.skewed, *plan.standard, *plan.ordinal,
+             *[f"{c}={v}" for c, vs in zip(plan.one_hot, labels) for v in vs]]
+    long = PipelineModel(stages=mdl.stages[:-1]).transform(_test_rows(spark, sf)).select(
+        "id", F.posexplode(vector_to_array("features")).alias("i", "value"))
+    dense = len(plan.skewed) + len(plan.standard) + len(plan.ordinal)
+    return (long.filter((F.col("i") >= len(plan.skewed)) & ((F.col("i") < dense) | (F.col("value") != 0)))
+            .select("id", F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1)
+                    .alias("feature"), "value"))
 
 
-@register("predict_proba")
-def q_predict_proba(spark, sf):
-    return _model_scores(spark, sf, "gbt").select("id", F.col("score").alias("probability"))
+def _valid():
+    return (F.col("probability") >= 0) & (F.col("probability") <= 1)
 
 
-@register("model_comparison")
-def q_model_comparison(spark, sf):
-    return _model_metrics(spark, sf, "gbt").unionByName(_model_metrics(spark, sf, "second"))
+@register("predict_proba", duckdb_with("definitive") + f"SELECT {_N_TEST} AS n_rows, {_N_TEST} AS n_valid")
+def q_predict_proba(spark, sf):
+    p = _model_scores(spark, sf, "gbt").withColumnRenamed("score", "probability")
+    return p.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(_valid()).alias("n_valid"))
 
 
-@register("score_psi_model")
+@register("score_psi_model", duckdb_with("definitive") + f"""SELECT count_if(issue_year < {SPLIT_YEAR})::BIGINT AS n_train,
+  count_if(issue_year >= {SPLIT_YEAR})::BIGINT AS n_test, true AS has_band, true AS not_negative FROM definitive""")
 def q_score_psi_model(spark, sf):
-    """PSI of model scores, train vs test."""
-    rows = _definitive(spark, sf).filter(F.col("issue_year").isNotNull())
-    s = _model_scores(spark, sf, "gbt", rows).join(
-        profile.time_split(rows, SPLIT_YEAR).select("id", "side"), "id")
-    return stability.score_psi(s)
+    """PSI of model scores, train vs test (E9); the side comes along with the scores."""
+    rows = profile.time_split(_definitive(spark, sf), SPLIT_YEAR)
+    s = _model_scores(spark, sf, "gbt", rows, keep=("side",)).persist()
+    try:
+        n = {r["side"]: r["count"] for r in s.groupBy("side").count().collect()}
+        p = stability.score_psi(s).first()
+    finally:
+        s.unpersist()
+    return spark.createDataFrame(
+        [(n.get("train", 0), n.get("test", 0), p["band"] is not None, p["psi"] >= 0)],
+        "n_train bigint, n_test bigint, has_band boolean, not_negative boolean")
 
 
 def _saved_scorer(spark, sf):
-    import uuid
     from ..score import Scorer
-    from ..session import checkpoint_dir
     mdl, plan = _fitted(spark, sf, "gbt")
-    path = f"{checkpoint_dir(spark).rstrip('/')}/scorer-{uuid.uuid4().hex}"
+    path = _shared(spark, "scorer")
     Scorer(mdl, plan).save(path)
     return Scorer.load(path, spark)
 
 
-@register("score_batch")
+_SCORED_SQL = "AS n_rows, {0} AS n_valid, 0::BIGINT AS n_off_threshold".format
+
+
+def _score_facts(scored: DataFrame) -> DataFrame:
+    off = F.col("prediction") != (F.col("probability") >= THRESHOLD).cast("int")
+    return scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(_valid()).alias("n_valid"),
+                      F.count_if(off).alias("n_off_threshold"))
+
+
+@register("score_batch", duckdb_with("definitive") + f"SELECT {_N_TEST} {_SCORED_SQL(_N_TEST)}")
 def q_score_batch(spark, sf):
     """Load the saved artifact and score the raw test applications."""
-    return _saved_scorer(spark, sf).score(_test_rows(spark, sf), THRESHOLD)
+    return _score_facts(_saved_scorer(spark, sf).score(_test_rows(spark, sf), THRESHOLD))
+
+
+@register("score_csv", duckdb_with("loans")
+          + f"SELECT (SELECT count(*) FROM loans) {_SCORED_SQL('(SELECT count(*) FROM loans)')}")
+def q_score_csv(spark, sf):
+    """The deployment path (S1, S7, B1-B4): raw applications from CSV through the loaded Scorer."""
+    path = _shared(spark, "applications-csv")
+    write_loans_csv(_loans(spark, sf).drop("loan_status"), path)
+    return _score_facts(_saved_scorer(spark, sf).score(read_loans_csv(spark, path), THRESHOLD))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", duckdb_with("definitive") + f"SELECT {_N_TEST} AS n_rows, 0::BIGINT AS n_differ")
 def q_model_roundtrip(spark, sf):
-    """Probabilities before and after save -> load (S6, S7); equal by construction."""
+    """Probabilities before and after save -> load (S6, S7): rows, and rows that differ."""
     rows = _test_rows(spark, sf)
     before = _model_scores(spark, sf, "gbt", rows).select("id", F.col("score").alias("p_before"))
     after = _saved_scorer(spark, sf).score(rows).select("id", F.col("probability").alias("p_after"))
-    return before.join(after, "id")
+    return before.join(after, "id").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~F.col("p_before").eqNullSafe(F.col("p_after"))).alias("n_differ"))
 
 
 def queries() -> dict[str, Query]:

@@ -56,9 +56,12 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     oid = F.col("o_orderkey")
     digit = F.substring("o_orderpriority", 1, 1).cast("int")
-    letter = F.element_at(F.array(*[F.lit(x) for x in GRADE_LETTERS]), digit)
-    cust_mod = F.col("o_custkey") % 12
     order_date = F.to_date("o_orderdate")
+    recent = F.year(order_date) >= SPLIT_YEAR
+    # The last letter turns into one that no earlier year has: a level unseen in training.
+    letter = F.when(recent & (digit == 5) & (oid % 3 == 0), F.lit("F")).otherwise(
+        F.element_at(F.array(*[F.lit(x) for x in GRADE_LETTERS]), digit))
+    cust_mod = F.col("o_custkey") % 12
     status_map = F.create_map(*[F.lit(x) for kv in ORDER_STATUS_TO_LOAN_STATUS.items() for x in kv])
     null_d = F.lit(None).cast("double")
     null_l = F.lit(None).cast("bigint")
@@ -69,12 +72,14 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(oid % 2 == 0, " 36 months").otherwise(" 60 months").alias("term"),
         (F.lit(5.0) + F.lit(3.0) * (digit - 1) + F.lit(0.1) * (oid % 7)
          + F.when(F.col("o_orderstatus") == "P", F.lit(2.0)).otherwise(F.lit(0.0))).alias("int_rate"),
-        letter.alias("grade"),
-        F.concat(letter, (F.lit(1) + oid % 5).cast("string")).alias("sub_grade"),
+        F.when(oid % 23 != 0, letter).alias("grade"),
+        F.when(oid % 29 != 0, F.concat(letter, (F.lit(1) + oid % 5).cast("string")))
+         .alias("sub_grade"),
         F.when(cust_mod == 0, "< 1 year").when(cust_mod == 1, "1 year")
          .when(cust_mod == 10, "10+ years").when(cust_mod == 11, F.lit(None).cast("string"))
          .otherwise(F.concat(cust_mod.cast("string"), F.lit(" years"))).alias("emp_length"),
-        F.col("c_mktsegment").alias("home_ownership"),
+        F.when(recent & (oid % 31 == 0), F.lit("ANY")).when(oid % 37 != 0, F.col("c_mktsegment"))
+         .alias("home_ownership"),
         F.col("n_name").alias("addr_state"),
         F.when(oid % 11 == 0, null_d).otherwise(F.col("c_acctbal")).alias("annual_inc"),
         _month_text(order_date).alias("issue_d"),
@@ -87,6 +92,9 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("li_r").alias("pub_rec"),
         F.when(oid % 17 == 0, null_l).otherwise(F.col("li_o")).alias("mort_acc"),
         F.when(oid % 2 == 0, null_d).otherwise(F.col("li_qty")).alias("mths_since_last_delinq"),
+        # A heavy right tail and a long left one.
+        (F.col("o_totalprice") * F.lit(50.0) / (F.lit(1) + oid % 997)).alias("revol_bal"),
+        (F.lit(100.0) - F.lit(60.0) / (F.lit(1) + oid % 41)).alias("pct_tl_nvr_dlq"),
         F.lit(1.0).alias("policy_code"),
     )
 
@@ -136,12 +144,13 @@ SELECT
   5::DOUBLE + 3::DOUBLE * (CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER) - 1)
     + 0.1::DOUBLE * (o.o_orderkey % 7)
     + CASE WHEN o.o_orderstatus = 'P' THEN 2::DOUBLE ELSE 0::DOUBLE END AS int_rate,
-  substr('ABCDE', CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER), 1) AS grade,
-  substr('ABCDE', CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER), 1)
-    || CAST(1 + o.o_orderkey % 5 AS VARCHAR) AS sub_grade,
+  CASE WHEN o.o_orderkey % 23 <> 0 THEN {letter} END AS grade,
+  CASE WHEN o.o_orderkey % 29 <> 0 THEN {letter} || CAST(1 + o.o_orderkey % 5 AS VARCHAR) END
+    AS sub_grade,
   CASE o.o_custkey % 12 WHEN 0 THEN '< 1 year' WHEN 1 THEN '1 year' WHEN 10 THEN '10+ years'
     WHEN 11 THEN NULL ELSE CAST(o.o_custkey % 12 AS VARCHAR) || ' years' END AS emp_length,
-  c.c_mktsegment AS home_ownership,
+  CASE WHEN year(o.o_orderdate) >= {split} AND o.o_orderkey % 31 = 0 THEN 'ANY'
+    WHEN o.o_orderkey % 37 <> 0 THEN c.c_mktsegment END AS home_ownership,
   n.n_name AS addr_state,
   CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE c.c_acctbal END AS annual_inc,
   strftime(o.o_orderdate, '%b-%Y') AS issue_d,
@@ -155,6 +164,8 @@ SELECT
   li.li_r AS pub_rec,
   CASE WHEN o.o_orderkey % 17 = 0 THEN NULL ELSE li.li_o END AS mort_acc,
   CASE WHEN o.o_orderkey % 2 = 0 THEN NULL ELSE li.li_qty END AS mths_since_last_delinq,
+  o.o_totalprice * 50::DOUBLE / (1 + o.o_orderkey % 997) AS revol_bal,
+  100::DOUBLE - 60::DOUBLE / (1 + o.o_orderkey % 41) AS pct_tl_nvr_dlq,
   1::DOUBLE AS policy_code
 FROM orders o
 LEFT JOIN (
@@ -164,7 +175,10 @@ LEFT JOIN (
   FROM lineitem GROUP BY l_orderkey
 ) li ON li.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+JOIN nation n ON c.c_nationkey = n.n_nationkey""".format(split=SPLIT_YEAR, letter=f"""CASE
+    WHEN year(o.o_orderdate) >= {SPLIT_YEAR} AND substr(o.o_orderpriority, 1, 1) = '5'
+      AND o.o_orderkey % 3 = 0 THEN 'F'
+    ELSE substr('ABCDE', CAST(substr(o.o_orderpriority, 1, 1) AS INTEGER), 1) END"""),
     "labeled": f"""
 SELECT *, CAST(CASE WHEN loan_status IN ({_BAD}) THEN 1 WHEN loan_status IN ({_GOOD}) THEN 0
   ELSE -1 END AS INTEGER) AS is_bad

@@ -31,13 +31,23 @@ def test_curve_running_sums_are_bucketed(spark):
     assert "windowspecdefinition(__bucket" in plan
 
 
-def test_quantile_pick_is_a_hash_join(spark):
+def test_quantiles_shuffle_a_small_share_of_the_values(spark):
+    df = spark.range(40_000).select((F.col("id") * 7919 % 40_009).cast("double").alias("x"))
+    long = ordered.unpivot_values(df, ["x"])
+    brackets = long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.percentile_approx("value", [0.245, 0.495], 1000)
+        .alias("lows"), F.percentile_approx("value", [0.255, 0.505], 1000).alias("highs"))
+    counts = ordered.bracket_counts(long, brackets, ["column"])
+    assert counts.count() < 0.05 * 40_000
+    assert "CartesianProduct" not in _plan(counts)
+    assert "BroadcastNestedLoopJoin" not in _plan(counts)
+
+
+def test_corr_matrix_reads_the_rows_once_in_python(spark):
+    from riskframe.operators import correlate
     d = fixture.definitive_loans(spark, SF_SMALL)
-    counts = (ordered.unpivot_values(d, ["loan_amnt"]).groupBy("column", "value")
-              .agg(F.count(F.lit(1)).alias("cnt")))
-    q = ordered._quantiles_from_counts(counts, ["column"], [0.5], 100)
-    plan = _plan(q)
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    plan = _plan(correlate.corr_matrix(d, ["loan_amnt", "int_rate", "annual_inc"]))
+    assert plan.count("MapInPandas") == 1
 
 
 def test_time_split_prunes_year_partitions(spark, tmp_path):
