@@ -12,11 +12,13 @@ From candidates to classes, without listing all pairs of a bucket:
 1. texts with the same words are one node (a copied group is one node, whatever its size);
 2. in every bucket each node is compared with the bucket's first node (its star);
 3. components of the verified links; buckets inside one component are settled;
-4. in the others, nodes outside the largest component (a bounded number per bucket and round)
+4. in the others, nodes outside the largest component (up to ``centers`` per bucket and round)
    are compared with all nodes of other components, then leave the bucket; back to 3.
 
 When no bucket is left, every pair that shared a bucket was compared or lies in one class, so no
-link is lost, and a round never emits more than ``centers`` times a bucket's size.
+link is lost. In step 4 a bucket's nodes are dealt into blocks of about ``centers`` nodes, every
+block gets the round's chosen nodes and compares them in memory by an index of their shingles:
+a round moves about twice a bucket's rows, however large, and emits links of components alone.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.tables import byte_blocks, forget, map_arrow, written
+from riskframe.llm.tables import byte_blocks, forget, map_arrow, ship_package, written
 from riskframe.llm.words import Words, counted, mix, unit
 
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -142,6 +144,35 @@ def _similar(threshold: float):
     return run
 
 
+def _compare_block(threshold: float):
+    """Links between the chosen nodes and the others of one block of one bucket, once per pair
+    of components."""
+
+    def run(table: pa.Table) -> pa.Table:
+        chosen = np.array(table.column("chosen").to_pylist(), bool)
+        comp = table.column("comp").to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("shingles").to_pylist()]
+        rows = np.flatnonzero(~chosen)
+        size = np.array([len(sets[i]) for i in rows], np.int64)
+        value = np.concatenate([np.zeros(0, np.uint64), *[sets[i] for i in rows]])
+        order = np.argsort(value, kind="stable")
+        value, owner = value[order], np.repeat(np.arange(len(rows)), size)[order]
+        links = set()
+        for c in np.flatnonzero(chosen):
+            lo = np.searchsorted(value, sets[c], "left")
+            n = np.searchsorted(value, sets[c], "right") - lo
+            hit = owner[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            same = np.bincount(hit, minlength=len(rows))
+            near = same >= threshold * (len(sets[c]) + size - same) - 1e-9
+            for other in np.unique(comp[rows[near]]).tolist():
+                if other != comp[c]:
+                    links.add((min(other, int(comp[c])), max(other, int(comp[c]))))
+        a, b = zip(*sorted(links)) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(uid, comp) of every node of the undirected ``edges`` (a, b): comp is its least node.
 
@@ -169,7 +200,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_rows(docs: DataFrame, text_col: str = "text", threshold: float = 0.8, words: int = 5,
-              bands: int = 24, rows: int = 5, centers: int = 256) -> DataFrame:
+              bands: int = 24, rows: int = 5, centers: int = 512) -> DataFrame:
     """One row per input row: ``uid``, ``row`` (all input columns as a struct), ``class_uid``.
 
     Rows of one class share ``class_uid`` (the least uid of the class): texts with the same
@@ -214,39 +245,47 @@ def near_rows(docs: DataFrame, text_col: str = "text", threshold: float = 0.8, w
     links = verified(buckets.filter("uid <> first").select(
         F.col("first").alias("a"), F.col("uid").alias("b")).distinct())
     comps = components(links)
+    forget(links)
 
     # 3 and 4. Buckets that span components, until none is left.
     open_rows = buckets.select("key", "uid")
-    done = None
     while True:
         placed = open_rows.join(comps, "uid", "left").select(
             "key", "uid", F.coalesce("comp", "uid").alias("comp"))
-        mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                 .filter("lo <> hi").select("key"))
-        placed = written(placed.join(mixed, "key", "left_semi"), "near-open")
+        mixed = (placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"),
+                                           F.count(F.lit(1)).alias("n"))
+                 .filter("lo <> hi").select("key", "n"))
+        placed = written(placed.join(mixed, "key"), "near-open")
         if placed.isEmpty():
+            forget(placed)
             break
-        parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
+        parts = placed.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
         largest = parts.groupBy("key").agg(
-            F.max(F.struct("n", "comp")).getField("comp").alias("largest"))
-        rank = Window.partitionBy("key").orderBy("n", "comp", "uid")
+            F.max(F.struct("m", "comp")).getField("comp").alias("largest"))
+        rank = Window.partitionBy("key").orderBy("m", "comp", "uid")
         chosen = written(placed.join(parts.join(largest, "key").filter("comp <> largest"),
                                      ["key", "comp"])
                          .withColumn("rank", F.row_number().over(rank))
-                         .filter(F.col("rank") <= centers).select("key", "uid", "comp"),
-                         "near-centers")
-        pairs = (chosen.select("key", F.col("uid").alias("c"), F.col("comp").alias("of_c"))
-                 .join(placed, "key").filter("comp <> of_c")
-                 .select(F.least("c", "uid").alias("a"), F.greatest("c", "uid").alias("b"))
-                 .distinct())
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = written(pairs, "near-pairs")
-        done = pairs if done is None else done.union(pairs)
-        links = links.union(verified(pairs))
-        forget(comps)
-        comps = components(links)
-        open_rows = placed.join(chosen, ["key", "uid"], "left_anti").select("key", "uid")
+                         .filter(F.col("rank") <= centers).select("key", "uid", "comp", "n"),
+                         "near-chosen")
+        blocks = F.ceil(F.col("n") / centers).cast("int")
+        sides = (placed.select("key", "uid", "comp", F.lit(False).alias("chosen"),
+                               F.pmod(F.xxhash64("uid"), blocks).cast("int").alias("block"))
+                 .unionByName(chosen.select(
+                     "key", "uid", "comp", F.lit(True).alias("chosen"),
+                     F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))))
+        ship_package(docs.sparkSession)
+        found = written(sides.join(sets, "uid").groupBy("key", "block").applyInArrow(
+            _compare_block(threshold), "a bigint, b bigint").distinct(), "near-links")
+        joined = components(found)  # of components, which are named by their least nodes
+        merged = written(comps.join(joined.select(F.col("uid").alias("comp"),
+                                                  F.col("comp").alias("up")), "comp", "left")
+                         .select("uid", F.coalesce("up", "comp").alias("comp"))
+                         .unionByName(joined.join(comps, "uid", "left_anti")), "near-comps")
+        open_rows = written(placed.join(chosen, ["key", "uid"], "left_anti")
+                            .select("key", "uid"), "near-left")
+        forget(comps, found, joined, placed, chosen)
+        comps = merged
 
     forget(sets, buckets)
     classes = of_node.join(comps.withColumnRenamed("uid", "node"), "node", "left").select(
