@@ -919,16 +919,17 @@ def _filled_demo(spark, sf) -> DataFrame:
 
 
 @register("yeo_johnson_likelihood", duckdb_with("definitive") + f", {_YJ_FILLED}\n" + "SELECT column, "
-          "lam AS lambda, round(ll, 4) AS log_likelihood FROM ("
+          "lam AS lambda, CASE WHEN isfinite(ll) THEN round(ll, 4) END AS log_likelihood FROM ("
           + _yj_loglik_sql(f"(SELECT unnest({_YJ_GRID}::DOUBLE[]) AS lam) g") + ")")
 def q_yeo_johnson_likelihood(spark, sf):
     """Log-likelihood per row of every skewed column on a fixed grid of λ."""
     got = X.yeo_johnson_likelihoods(_filled_demo(spark, sf), {c: _YJ_GRID for c in _SKEW_DEMO})
     each = got.select("column", "n", "t", F.posexplode("v").alias("i", "var"))
     lam = F.element_at(F.array(*[F.lit(v) for v in _YJ_GRID]), F.col("i") + 1)
-    return each.select("column", lam.alias("lambda"),
-                       F.round(-F.log("var") / 2 + (lam - 1) * F.col("t") / F.col("n"), 4)
-                       .alias("log_likelihood"))
+    ll = -F.log("var") / 2 + (lam - 1) * F.col("t") / F.col("n")
+    # A map that overflows has no likelihood.
+    return each.select("column", lam.alias("lambda"), F.when(
+        F.abs(ll) < F.lit(float("inf")), F.round(ll, 4)).alias("log_likelihood"))
 
 
 # The best λ by grids in SQL: steps of 0.25 on [-2, 24], then 0.01 and 0.001 around the best.
