@@ -4,8 +4,10 @@ A text's terms are its words and their beginnings, hashed into ``2**bits`` bucke
 value grows with the logarithm of its count, and a text's values have unit length. The machine
 scores ``b + sum w_i x_i + sum_{i<j} <v_i, v_j> x_i x_j``: the factors ``v`` let two terms that
 are harmless alone (an insult's word, the mention of a group) weigh when they meet, which a sum
-of weights cannot express. A fifth of the sample is kept from the fit and calibrates the scores
-(Platt scaling), so a score is a probability and a threshold means the same at any size.
+of weights cannot express. Values of a text of hundreds of terms are some hundredths, so the
+factors start at ``START`` and step and shrink faster than the weights; terms that the fit never
+saw have none. A fifth of the sample is kept from the fit and calibrates the scores (Platt
+scaling), so a score is a probability and a threshold means the same at any size.
 
 The model is fitted on a bounded sample of labelled rows (``sample_rows``, those with the
 smallest hash of the id) and sent to the executors; every text is scored whole.
@@ -26,6 +28,7 @@ from riskframe.llm.words import Words, counted, mix
 
 BITS = 18
 PREFIXES = (4, 6)  # bytes of a word's beginning
+START = 0.3  # standard deviation of the factors before the fit
 
 
 def terms(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,8 +93,14 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int
                              np.zeros((1 << bits, factors), np.float32))
     if len(np.unique(labels)) < 2:
         return m
-    m.factor = rng.normal(0, 0.01, m.factor.shape).astype(np.float32)
-    gw, gv, gb = (np.full_like(m.weight, 1e-6), np.full_like(m.factor, 1e-4), 1.0)
+    texts = np.bincount(np.concatenate([rows[i][0] for i in used_rows]), minlength=1 << bits)
+    m.factor = rng.normal(0, START, m.factor.shape).astype(np.float32)
+    m.factor[texts == 0] = 0
+    # A batch shrinks only the terms it holds: rare terms shrink as much more as they are rare,
+    # else factors of terms of one text would learn that text by heart.
+    shrink = 3 * l2 / np.maximum(1 - (1 - texts / len(used_rows)) ** batch, 1e-9)
+    # A factor's gradient is a weight's times a factor.
+    gw, gv, gb = (np.full_like(m.weight, 1e-6), np.full_like(m.factor, 1e-6 * START ** 2), 1.0)
     for _ in range(-(-steps * batch // max(1, len(used_rows)))):
         order = rng.permutation(used_rows)
         for lo in range(0, len(order), batch):
@@ -103,20 +112,18 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int
             used, at = np.unique(bucket, return_inverse=True)
             w, v = m.weight[used], m.factor[used]
             vx = v[at] * x[:, None]
-            total = np.stack([np.bincount(doc, vx[:, f], minlength=len(pick))
-                              for f in range(factors)], 1)
+            total = _sums(doc, vx, len(pick))
             margin = (m.bias + np.bincount(doc, w[at] * x, minlength=len(pick)) + 0.5 * (
                 (total ** 2).sum(1) - np.bincount(doc, (vx * vx).sum(1), minlength=len(pick))))
             err = (_sigmoid(margin) - labels[pick]) / len(pick)
             e = (err[doc] * x).astype(np.float32)
             step_w = np.bincount(at, e, minlength=len(used)) + l2 * w
-            step_v = np.stack([np.bincount(at, e * (total[doc, f] - vx[:, f]),
-                                           minlength=len(used)) for f in range(factors)],
-                              1) + l2 * v
+            step_v = (_sums(at, e[:, None] * (total[doc] - vx), len(used))
+                      + shrink[used][:, None] * v)
             gw[used] += step_w ** 2
             gv[used] += step_v ** 2
             m.weight[used] = w - rate * step_w / np.sqrt(gw[used])
-            m.factor[used] = v - 0.1 * rate * step_v / np.sqrt(gv[used])
+            m.factor[used] = v - 3 * rate * step_v / np.sqrt(gv[used])
             gb += float(err.sum()) ** 2
             m.bias -= rate * float(err.sum()) / gb ** 0.5
     if len(np.unique(labels[held])) == 2:
@@ -127,6 +134,14 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, bits: int
     return m
 
 
+def _sums(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of every column of ``values`` by ``group`` (0 to n - 1)."""
+    out = np.empty((n, values.shape[1]))
+    for f in range(values.shape[1]):
+        out[:, f] = np.bincount(group, values[:, f], minlength=n)
+    return out
+
+
 def _platt(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     """Slope and shift that make ``sigmoid(slope * margin + shift)`` fit the labels (Newton)."""
     up, down = float((label == 1).sum()), float((label == 0).sum())

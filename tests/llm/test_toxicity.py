@@ -49,6 +49,37 @@ def test_learns_an_interaction_that_weights_alone_miss():
     assert (pair.sum(0) ** 2).sum() > 0  # the factors carry weight
 
 
+def meetings(n, seed):
+    """Long texts and labels: 1 where exactly one of two marks stands."""
+    rng = random.Random(seed)
+    texts, y = [], []
+    for i in range(n):
+        a, b = i % 2, (i // 2) % 2
+        words = [f"w{rng.randrange(3000)}x" for _ in range(150)]
+        words += ["insult"] * 4 * a + ["group"] * 4 * b
+        rng.shuffle(words)
+        texts.append(" ".join(words))
+        y.append(a ^ b)
+    return texts, np.array(y, float)
+
+
+def test_defaults_learn_an_interaction_in_long_texts():
+    texts, y = meetings(3000, 1)
+    new, want = meetings(800, 2)
+    rows = rows_of(texts)
+    assert np.median([len(r[0]) for r in rows]) > 200
+    quality = {k: auc(want, toxicity.fit(rows, y, **k_args).score(new))
+               for k, k_args in (("pairs", {}), ("weights", {"factors": 0}))}
+    assert quality["pairs"] > 0.95 and quality["weights"] < 0.6
+
+
+def test_terms_that_the_fit_never_saw_have_no_factors():
+    texts, y = meetings(200, 1)
+    m = toxicity.fit(rows_of(texts), y)
+    _, bucket, _ = toxicity.terms(["qqqqzz vvvvkk"])
+    assert (m.factor[bucket] == 0).all() and (m.weight[bucket] == 0).all()
+
+
 def test_held_out_quality_and_odd_rows(spark):
     rng = random.Random(4)
     rows = []
