@@ -5,7 +5,10 @@ process whose rate is the weight; each arrival falls on a random component, and
 keeps the shingle that arrives first. A shingle stops as soon as its next arrival comes after
 all components of the text are taken. The share of equal components estimates the probability
 Jaccard similarity of two texts. Bands of components that agree make candidates, and candidates
-are verified by the exact Jaccard similarity of their shingle sets.
+are verified by the exact Jaccard similarity of their shingle sets. With weight 1 per distinct
+shingle the probability Jaccard similarity is that of the sets, so every text has the bands of
+this signature, and a text whose shingles repeat unevenly has those of its counts besides. Both
+share their buckets: where repeats are even the two signatures are one.
 
 From candidates to classes, without listing all pairs of a bucket:
 
@@ -81,10 +84,20 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def text_signatures(texts: list[str], bands: int, rows: int, words: int
                     ) -> tuple[list[bytes], list[np.ndarray | None]]:
-    """Per text: 128-bit hash of its words (of its bytes if it has none), band keys or None."""
+    """Per text: 128-bit hash of its words (of its bytes if it has none), band keys or None.
+
+    ``bands`` keys of its shingle set; of uneven counts up to as many more, none twice.
+    """
     w = Words(texts)
     doc, value, count = counted(*w.shingles(words))
-    keys = band_keys(prob_minhash(doc, value, count, len(texts), bands * rows), bands, rows)
+    keys = list(band_keys(prob_minhash(doc, value, np.ones(len(value)), len(texts), bands * rows),
+                          bands, rows))
+    uneven = np.unique(doc[count != count[np.searchsorted(doc, doc)]])
+    pick = np.isin(doc, uneven)
+    weighted = prob_minhash(np.searchsorted(uneven, doc[pick]), value[pick], count[pick],
+                            len(uneven), bands * rows)
+    for i, more in zip(uneven, band_keys(weighted, bands, rows)):
+        keys[i] = np.unique(np.concatenate((keys[i], more)))
     raw = w.hash.tobytes()
     marks, out = [], []
     for i, t in enumerate(texts):

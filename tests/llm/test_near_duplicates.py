@@ -96,6 +96,27 @@ def test_classes_equal_brute_force(spark, centers):
                for r in got.values())
 
 
+def test_classes_equal_brute_force_where_repeats_are_uneven(spark):
+    docs = []
+    for k in range(6):  # the same article with a line twice, or many times, or edited as well
+        line, text = prose(900 + k, 12), prose(800 + k, 200)
+        for j, n in enumerate((2, 20, 40, 80)):
+            docs.append((len(docs), f"{text} " + f"{line} " * n))
+            docs.append((len(docs), f"{edited(text, 0.015, 10 * k + j)} " + f"{line} " * n))
+    want = classes(docs)
+    assert set(want.values()) == set(range(0, 48, 8))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    assert {r.doc_id: r.class_id for r in neardup.near_groups(df).collect()} == want
+
+
+def test_uneven_repeats_have_bands_of_the_set_and_of_the_counts():
+    line, text = prose(1, 12), prose(2, 200)
+    two, many, even = neardup.text_signatures(
+        [f"{text} " + f"{line} " * 2, f"{text} " + f"{line} " * 80, text], 24, 5, 5)[1]
+    assert len(even) == 24 < len(many) <= 48 and len(np.unique(many)) == len(many)
+    assert len(np.intersect1d(two, many)) >= 24
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r.uid: r.comp for r in neardup.components(
