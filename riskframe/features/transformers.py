@@ -219,12 +219,10 @@ class NumericScalerModel(_NumericModel):
     pass
 
 
-# Yeo-Johnson λ search: first bracket, points per pass, precision, and where a likelihood
-# that still rises ends the search (λ past it only overflows).
+# Yeo-Johnson λ search: first bracket, points per pass and precision.
 YJ_BRACKET = (-2.0, 2.0)
 YJ_GRID = 9
 YJ_TOLERANCE = 1e-5
-YJ_FARTHEST = 1000.0
 # Spreads below this share of the mean are rounding errors of the map, not data.
 YJ_ROUNDING = 1e-10
 
@@ -238,7 +236,8 @@ def fit_yeo_johnson_lambdas(df: DataFrame, cols: list[str], bracket=YJ_BRACKET,
     λ for every column in one aggregate. ``bracket`` is only where the search
     starts: while the best point lies on an end of a column's grid, the grid
     moves outwards and doubles; once it lies inside, the grid narrows around it.
-    A column without spread keeps λ = 1.
+    No λ is too far: in both directions the likelihood falls, or the map overflows
+    or loses its spread, which scores −inf. A column without spread keeps λ = 1.
     """
     if not cols:
         return []
@@ -300,9 +299,9 @@ def _search_lambdas(df: DataFrame, cols: list[str], bracket, grid: int,
             best[c], step = lams[c][k], (hi - lo) / (grid - 1)
             # Outwards only from the first bracket or onwards in the same direction: any other
             # end has a worse point beyond it that an earlier pass has seen.
-            if k == 0 and moved.get(c, -1) == -1 and lo > -YJ_FARTHEST:
+            if k == 0 and moved.get(c, -1) == -1:
                 moved[c], ends[c] = -1, (lo + step - 2 * (hi - lo), lo + step)
-            elif k == grid - 1 and moved.get(c, 1) == 1 and hi < YJ_FARTHEST:
+            elif k == grid - 1 and moved.get(c, 1) == 1:
                 moved[c], ends[c] = 1, (hi - step, hi - step + 2 * (hi - lo))
             elif step > tolerance * max(1.0, abs(best[c])):
                 moved[c] = 0

@@ -36,6 +36,22 @@ def test_lambda_search_leaves_its_first_bracket(spark, name, low, high):
     assert lam == pytest.approx(best, abs=2e-3)
 
 
+@pytest.mark.parametrize("scale, sign, low, high", [(0.01, 1, 1000, 4000), (0.001, 1, 10_000, 40_000),
+                                                   (0.001, -1, -40_000, -10_000)])
+def test_lambda_of_small_fractions_is_not_capped(spark, scale, sign, low, high):
+    x = sign * scale * (1 - np.random.default_rng(5).exponential(0.03, 3000))
+    lam = X.fit_yeo_johnson_lambdas(frame(spark, x=x), ["x"])[0]
+    assert low < lam < high
+    around = lam * (1 + np.linspace(-0.02, 0.02, 41))
+    assert lam == pytest.approx(around[np.argmax([log_likelihood(x, v) for v in around])], rel=2e-3)
+
+
+def test_lambda_search_ends_where_fractions_drown_in_rounding(spark):
+    x = 1e-13 * (1 - np.random.default_rng(5).exponential(0.03, 300))
+    lams = X.fit_yeo_johnson_lambdas(frame(spark, x=x, y=x * 1e-200), ["x", "y"])
+    assert np.isfinite(lams).all() and lams[1] == 1.0
+
+
 def test_lambda_of_columns_without_spread_or_values(spark):
     df = spark.createDataFrame([(3.0, None), (3.0, None)], "x double, y double")
     assert X.fit_yeo_johnson_lambdas(df, ["x", "y"]) == [1.0, 1.0]
