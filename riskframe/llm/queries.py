@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.llm import (byte_bpe, exact_dedup, fingerprint, html_content, neardup, packing,
-                           records, sharding, token_tree, toxicity)
+                           records, sharding, token_tree, toxicity, whitening)
 from riskframe.sources.tables import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -92,6 +92,10 @@ def op10_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(records.write_records(docs, folder, WORD_BPE), folder)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"), 32)
+
+
 _ORACLE = {
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
@@ -103,7 +107,8 @@ _ORACLE = {
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sharding, op2_token_counts, op3_fingerprints, op4_byte_bpe, op5_toxicity,
-        op6_near_duplicates, op7_packing, op8_main_text, op9_exact_dedup, op10_record_files)}
+        op6_near_duplicates, op7_packing, op8_main_text, op9_exact_dedup, op10_record_files,
+        op11_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:

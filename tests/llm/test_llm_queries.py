@@ -26,9 +26,9 @@ def docs(spark):
 
 @pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_query_covers_its_table(spark, name):
-    table = "pages" if name.startswith("op8") else "documents"
-    ids = {r[0] for r in spark.read.parquet(f"{SMALL}/{table}.parquet").select(
-        "page_id" if table == "pages" else "doc_id").collect()}
+    table, key = {"op8_": ("pages", "page_id"), "op11": ("embeddings", "vec_id"),
+                  "op13": ("benchmark", "item_id")}.get(name[:4], ("documents", "doc_id"))
+    ids = {r[0] for r in spark.read.parquet(f"{SMALL}/{table}.parquet").select(key).collect()}
     df = Q.queries()[name](spark, SMALL)
     assert {r[0] for r in df.select(df.columns[0]).collect()} == ids
 
