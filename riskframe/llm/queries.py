@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import (byte_bpe, exact_dedup, fingerprint, html_content, neardup, packing,
-                           records, sharding, token_tree, toxicity, whitening)
+from riskframe.llm import (byte_bpe, decontaminate, exact_dedup, fingerprint, html_content,
+                           lexical_search, neardup, packing, records, sharding, token_tree,
+                           toxicity, whitening)
 from riskframe.sources.tables import read_table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -96,7 +97,68 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"), 32)
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(_documents(spark, sf_dir), read_table(
+        spark, sf_dir, "benchmark")).select("doc_id", "n_words", "n_hit", "n_items",
+                                            "items_sha256", "contaminated")
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(_documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+_TERMS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
 _ORACLE = {
+    "op13_lexical_search": f"""
+        WITH d AS (SELECT row_number() OVER () AS uid, doc_id, {_TERMS} AS terms FROM documents),
+        all_docs AS (SELECT CAST(count(*) AS BIGINT) AS nd, CAST(sum(len(terms)) AS BIGINT) AS nt
+                     FROM d WHERE len(terms) > 0),
+        i AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+        wanted AS (SELECT item_id, term, count(*) AS times FROM i GROUP BY ALL),
+        counts AS (SELECT uid, term, count(*) AS tf FROM (SELECT uid, unnest(terms) AS term FROM d)
+                   WHERE term IN (SELECT term FROM wanted) GROUP BY ALL),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))
+                                      AS BIGINT) AS w
+                    FROM counts, all_docs GROUP BY term, nd),
+        scores AS (
+            SELECT item_id, d.uid, d.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (
+                       1000 * tf + 12 * (75 + (25 * len(terms) * nd) // nt)))) AS BIGINT) AS score
+            FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN d USING (uid),
+                 all_docs
+            GROUP BY ALL),
+        ranked AS (SELECT item_id, CAST(row_number() OVER (
+                       PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER)
+                       AS rank, doc_id, score
+                   FROM scores WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 20""",
+    "op12_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce({_WORDS}, []) AS w
+                   FROM documents),
+        i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS win
+            FROM (SELECT item, w, least(len(w), 10) AS n,
+                         unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p
+                  FROM i WHERE len(w) > 0)),
+        places AS (
+            SELECT uid, w, n, unnest(range(1, len(w) - n + 2)) AS p
+            FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+        found AS (
+            SELECT uid, p, item, windows.n
+            FROM places JOIN windows ON windows.n = places.n
+             AND win = array_to_string(w[p:p + places.n - 1], ' ')),
+        hit AS (SELECT uid, count(DISTINCT q) AS n_hit
+                FROM (SELECT uid, unnest(range(p, p + n)) AS q FROM found) GROUP BY uid),
+        items AS (SELECT uid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS s
+                  FROM (SELECT DISTINCT uid, item FROM found) GROUP BY uid)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(n_items, 0) AS n_items, coalesce(s, sha256('')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN hit USING (uid) LEFT JOIN items USING (uid)""",
     "op9_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -108,7 +170,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_sharding, op2_token_counts, op3_fingerprints, op4_byte_bpe, op5_toxicity,
         op6_near_duplicates, op7_packing, op8_main_text, op9_exact_dedup, op10_record_files,
-        op11_whitening)}
+        op11_whitening, op12_decontamination, op13_lexical_search)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -65,6 +65,24 @@ def release(spark: SparkSession) -> None:
     _delete(spark, _SCRATCH.pop(spark.sparkContext.applicationId, []))
 
 
+def lookup(big: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner",
+           fan: int = 32, most_bytes: int = 8 << 20) -> DataFrame:
+    """``big`` joined with ``small``, safe where one key holds a third of ``big``.
+
+    ``small`` is written and measured: up to ``most_bytes`` of data it is broadcast. Beyond,
+    every row of it is repeated for ``fan`` salts and rows of ``big`` take one by a hash of
+    ``spread``, so a hot key is dealt to ``fan`` tasks.
+    """
+    table = written(small, "lookup")
+    width = F.coalesce(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in table.columns]))),
+                       F.lit(0)) + 16
+    if (table.agg(F.sum(width).alias("b")).first()["b"] or 0) <= most_bytes:
+        return big.join(F.broadcast(table), on, how)
+    salted = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(fan - 1))))
+    dealt = big.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(fan)).cast("int"))
+    return dealt.join(salted, [*on, "__salt"], how).drop("__salt")
+
+
 _SHIPPED: set[str] = set()
 
 
