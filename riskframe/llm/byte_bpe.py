@@ -2,9 +2,10 @@
 
 Texts are cut by the tokenizer's pattern; each distinct match is encoded once. For a batch of
 matches a recursive query holds one row per (word, position, token), with the next token's
-position. A step joins each word's neighbouring tokens with the merge table and contracts the
-leftmost pair of the least rank; words without a mergeable pair are done: the fixpoint. Ordered
-aggregation over the positions spells the ids of a word and the bytes that they decode to.
+position and the rank of the pair that they make. A step contracts each word's leftmost pair of
+the least rank and joins the merge table for the two pairs beside the contraction alone, as no
+other pair has changed; words without a mergeable pair are done: the fixpoint. Ordered
+aggregation over the positions lists the ids of a word, which decode to their bytes in order.
 
 The merge table lists, for every token, each way to cut it into two tokens; its rank is the
 token's id. That is the published rule of rank files: a pair may merge when its bytes are in
@@ -19,29 +20,44 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.llm.tables import byte_blocks, map_arrow, text_or_empty
 
 ENCODE = """
-WITH RECURSIVE state(w, pos, next, tok, done) AS (
-    SELECT w, pos, next, tok, false FROM letters
+WITH RECURSIVE pairs AS (
+    SELECT l.w, l.pos, l.next, l.tok, r.tok AS follow, (m.rank << 32) | l.pos AS pick
+    FROM letters l LEFT JOIN letters r ON r.pos = l.next
+    LEFT JOIN merges m ON m.pair = ((l.tok << 17) | r.tok)),
+state(w, pos, next, tok, follow, pick, done) AS (
+    SELECT *, false FROM pairs
     UNION ALL
-    (WITH live AS (SELECT w, pos, next, tok FROM state WHERE NOT done),
-          pairs AS (
-              SELECT l.w, l.pos, l.next, l.tok, r.next AS after, (m.rank << 32) | l.pos AS pick
-              FROM live l LEFT JOIN live r ON r.pos = l.next
-              LEFT JOIN merges m ON m.pair = ((l.tok << 17) | r.tok)),
+    (WITH live AS (SELECT * FROM state WHERE NOT done),
           best AS (SELECT w, min(pick) AS pick, arg_min(next, pick) AS gone
-                   FROM pairs WHERE pick IS NOT NULL GROUP BY w)
-     SELECT p.w, p.pos, CASE WHEN p.pick = b.pick THEN p.after ELSE p.next END,
-            CASE WHEN p.pick = b.pick THEN b.pick >> 32 ELSE p.tok END, b.pick IS NULL
-     FROM pairs p LEFT JOIN best b ON p.w = b.w
-     WHERE p.pos IS DISTINCT FROM b.gone)
+                   FROM live GROUP BY w HAVING min(pick) IS NOT NULL),
+          beside AS (
+              SELECT b.w, b.gone, b.pick & 4294967295 AS at, b.pick >> 32 AS rank,
+                     max(CASE WHEN l.pos <> b.gone THEN l.tok END) AS before,
+                     max(CASE WHEN l.pos = b.gone THEN l.next END) AS after,
+                     max(CASE WHEN l.pos = b.gone THEN l.follow END) AS follow
+              FROM best b JOIN live l ON l.w = b.w
+               AND (l.pos = b.gone OR l.next = (b.pick & 4294967295))
+              GROUP BY b.w, b.gone, b.pick),
+          cut AS (
+              SELECT c.*, (m.rank << 32) | c.at AS pick, o.rank << 32 AS rank_before
+              FROM beside c LEFT JOIN merges m ON m.pair = ((c.rank << 17) | c.follow)
+              LEFT JOIN merges o ON o.pair = ((c.before << 17) | c.rank))
+     SELECT l.w, l.pos, CASE WHEN l.pos = c.at THEN c.after ELSE l.next END,
+            CASE WHEN l.pos = c.at THEN c.rank ELSE l.tok END,
+            CASE WHEN l.pos = c.at THEN c.follow WHEN l.next = c.at THEN c.rank
+                 ELSE l.follow END,
+            CASE WHEN l.pos = c.at THEN c.pick WHEN l.next = c.at THEN c.rank_before | l.pos
+                 ELSE l.pick END, c.w IS NULL
+     FROM live l LEFT JOIN cut c ON c.w = l.w WHERE l.pos IS DISTINCT FROM c.gone)
 )
-SELECT w, string_agg(spelled, ' ' ORDER BY pos)
-FROM state JOIN vocabulary ON id = tok WHERE done GROUP BY w
+SELECT w, list(tok ORDER BY pos) AS toks FROM state WHERE done GROUP BY w
 """
 
 _ENCODERS: dict[tuple[str, str], "DuckBpe"] = {}
@@ -50,13 +66,15 @@ _ENCODERS: dict[tuple[str, str], "DuckBpe"] = {}
 class DuckBpe:
     """Encoder of one rank file. ``max_words`` bounds the dictionary of a worker."""
 
-    def __init__(self, path: str, pattern: str, max_words: int = 500_000, batch: int = 30_000):
+    def __init__(self, path: str, pattern: str, max_words: int = 1_200_000, batch: int = 30_000):
         import duckdb
+        import public_tokenizers
         import regex
 
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
+        self.cuts = pattern == public_tokenizers.PATTERN  # of another one _cut knows nothing
         self.blank_run = regex.compile(r"\s\s")
         self.segment = regex.compile(r"\s*\S+|\s+")
         self.max_words, self.batch = max_words, batch
@@ -66,17 +84,17 @@ class DuckBpe:
         if len(self.ranks) > 1 << 17:
             raise ValueError("ids must be below 2**17: a pair is one number")
         a, b, rank = (np.array(c, np.int64) for c in zip(*merges))
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB",
+                                         "temp_directory": ""})
         self.db.execute("SET preserve_insertion_order = false")
         self.db.register("given_merges", pa.table({"pair": (a << 17) | b, "rank": rank}))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given_merges")
-        self.db.register("given_tokens", pa.table({
-            "id": pa.array(list(self.ranks.values()), pa.int64()),
-            "spelled": pa.array([f"{r} {t.hex()}" for t, r in self.ranks.items()])}))
-        self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM given_tokens")
-        self.words: dict[str, tuple[str, bytes]] = {}  # decimal ids, decoded bytes
-        self.ids: dict[str, str] = {}    # of segments
-        self.bytes: dict[str, bytes] = {}
+        spelled = {r: t for t, r in self.ranks.items()}
+        every = range(max(spelled) + 1)
+        self.decimal = pa.array([str(r) for r in every], pa.string())
+        self.spelled = pa.array([spelled.get(r, b"") for r in every], pa.binary())
+        #: Of words and of segments: decimal ids and decoded bytes.
+        self.known: dict[str, tuple[str, bytes]] = {}
 
     def _encode_words(self, words: list[str]) -> None:
         """Learn ids (as decimal text) and decoded bytes of new words."""
@@ -99,46 +117,58 @@ class DuckBpe:
             self.db.register("letters", letters)
             got = self.db.sql(ENCODE).to_arrow_table()
             self.db.unregister("letters")
-            for w, spelled in zip(*(c.to_pylist() for c in got.columns)):
-                parts = spelled.split(" ")
-                self.words[words[w]] = (" ".join(parts[::2]),
-                                        bytes.fromhex("".join(parts[1::2])))
+            toks = got.column("toks").combine_chunks()
+            flat = toks.flatten()
+            ids, raws = (pc.binary_join(pa.ListArray.from_arrays(toks.offsets, table.take(flat)),
+                                        glue).to_pylist()
+                         for table, glue in ((self.decimal, " "), (self.spelled, b"")))
+            for w, pair in zip(got.column("w").to_pylist(), zip(ids, raws)):
+                self.known[words[w]] = pair
             i = j
 
     def _cut(self, text: str) -> list[str]:
         """Segments of a text that begin where white space follows other signs.
 
-        No match of the pattern reaches over such a place, so segments are encoded alone.
+        No match of the public pattern reaches over such a place, so segments are encoded
+        alone; with another pattern the text is one segment.
         """
+        if not self.cuts:
+            return [text] if text else []
         if self.blank_run.search(text):
             return self.segment.findall(text)
         parts = text.replace("\n", " \n").split(" ")
-        return [parts[0], *[p if p[:1] == "\n" else " " + p for p in parts[1:]]]
+        first = parts[:1] if parts[0] else []
+        return first + [p if p[:1] == "\n" else " " + p for p in parts[1:]]
+
+    def _learn(self, segments: set[str]) -> None:
+        """Encode new segments: each is one match of the pattern or several."""
+        known = self.known
+        found = {s: self.pattern.findall(s) for s in segments}
+        self._encode_words(sorted({w for ws in found.values() for w in ws if w not in known}))
+        for s, ws in found.items():
+            if len(ws) > 1:
+                parts = [known[w] for w in ws]
+                known[s] = (" ".join([ids for ids, _ in parts]),
+                            b"".join([raw for _, raw in parts]))
 
     def encode(self, texts: list[str]) -> list[tuple[str, int, bytes]]:
         """Per text: decimal ids joined by a space, their number, the bytes decoded from them."""
-        for known in (self.words, self.ids, self.bytes):
-            if len(known) > self.max_words:  # what came first are mostly the frequent ones
-                for key in list(known)[self.max_words // 3:]:
-                    del known[key]
+        if len(self.known) > self.max_words:  # what came first are mostly the frequent ones
+            for key in list(self.known)[self.max_words // 3:]:
+                del self.known[key]
         cut = [self._cut(t) for t in texts]
-        ids, raw, words = self.ids, self.bytes, self.words
-        new = {s for segs in cut for s in segs if s not in ids or s not in raw}
-        found = {s: self.pattern.findall(s) for s in new}
-        self._encode_words(sorted({w for ws in found.values() for w in ws if w not in words}))
-        for s, ws in found.items():
-            if len(ws) == 1:
-                ids[s], raw[s] = words[ws[0]]
-            else:
-                ids[s] = " ".join([words[w][0] for w in ws])
-                raw[s] = b"".join([words[w][1] for w in ws])
+        pairs = [list(map(self.known.get, segs)) for segs in cut]
+        late = [i for i, got in enumerate(pairs) if None in got]
+        new = {s for i in late for s, got in zip(cut[i], pairs[i]) if got is None}
+        if new:
+            self._learn(new)
+        for i in late:
+            pairs[i] = list(map(self.known.__getitem__, cut[i]))
         out = []
-        for segs in cut:
-            if segs and not segs[0]:
-                segs = segs[1:]
-            spelled = " ".join([ids[s] for s in segs])
+        for got in pairs:
+            spelled = " ".join([ids for ids, _ in got])
             out.append((spelled, spelled.count(" ") + 1 if spelled else 0,
-                        b"".join([raw[s] for s in segs])))
+                        b"".join([raw for _, raw in got])))
         return out
 
 

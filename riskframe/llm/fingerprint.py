@@ -51,12 +51,16 @@ def merged(a: Column, b: Column, k: int = 128) -> Column:
 
 def merge_groups(df: DataFrame, group_cols: list[str], sketch_col: str = "sketch",
                  k: int = 128) -> DataFrame:
-    """One sketch per group. Values are made distinct before the shuffle's end and ranked; Spark
-    keeps the k smallest per task before it shuffles, so a large group does not meet one task."""
-    values = df.select(*group_cols, F.explode(sketch_col).alias("__v")).distinct()
-    rank = Window.partitionBy(*group_cols).orderBy("__v")
-    return (values.withColumn("__r", F.row_number().over(rank)).filter(F.col("__r") <= k)
-            .groupBy(*group_cols).agg(F.sort_array(F.collect_list("__v")).alias(sketch_col)))
+    """One sketch per group, empty for a group of empty (or null) sketches. Values are made
+    distinct before the shuffle's end and ranked; Spark keeps the k smallest per task before it
+    shuffles, so a large group does not meet one task. Names of group columns are free."""
+    values = df.select(F.struct(*[F.col(f"`{c}`") for c in group_cols]).alias("group"),
+                       F.explode_outer(F.col(f"`{sketch_col}`")).alias("value")).distinct()
+    rank = Window.partitionBy("group").orderBy(F.col("value").asc_nulls_last())
+    merged_rows = (values.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
+                   .groupBy("group").agg(F.sort_array(F.collect_list("value")).alias("sketch")))
+    return merged_rows.select(*[F.col("group").getField(c).alias(c) for c in group_cols],
+                              F.col("sketch").alias(sketch_col))
 
 
 def resemblance(a: Column, b: Column, k: int = 128) -> Column:

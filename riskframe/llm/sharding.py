@@ -41,7 +41,8 @@ def assign_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_c
                   overhead_bytes: int = 8) -> DataFrame:
     """One row per input row: id, size, crc32, shard, slot in the shard, shard if one is added.
 
-    The key is Spark's ``xxhash64`` of the id; null ids share one key, repeated ids share a
+    The key is Spark's ``xxhash64`` of the id written as text, so an id keeps its shard when
+    its column changes from int to bigint or string; null ids share one key, repeated ids share a
     shard. A null text has no bytes (size ``overhead_bytes``, crc32 0). Slots number each
     shard's rows from 0 without gaps in the order (id, size, crc32), null ids first; the order
     among wholly equal rows is arbitrary. Extra columns are not carried.
@@ -54,7 +55,8 @@ def assign_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_c
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text_or_empty(text_col)).cast("long") + overhead_bytes).alias("size"),
-        F.crc32(raw).alias("text_crc32"), F.xxhash64(F.col(id_col)).alias("__key"))
+        F.crc32(raw).alias("text_crc32"), F.xxhash64(
+            F.col(id_col).cast("string")).alias("__key"))
     # Narrow and written once: the range partitioner samples it without rereading the texts.
     rows = written(rows.withColumn("__pos", F.monotonically_increasing_id()), "shard-rows")
     order = [F.col(c).asc_nulls_first() for c in ("doc_id", "size", "text_crc32", "__pos")]

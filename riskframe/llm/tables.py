@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterator
+from contextvars import ContextVar
 from pathlib import Path
 
 import pyarrow as pa
@@ -25,6 +26,31 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """The written tables of one run: what is written inside ``with`` belongs to it.
+
+    :meth:`delete` removes them, once what reads them is stored; tables that others wrote, such
+    as those of lazy results made before, stay. Runs may be nested.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.outer = spark, [], None
+
+    def __enter__(self) -> Scratch:
+        self.outer = _RUN.set(self)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _RUN.reset(self.outer)
+
+    def delete(self) -> None:
+        _delete(self.spark, self.paths)
+        own = _SCRATCH.get(self.spark.sparkContext.applicationId, [])
+        own[:] = [p for p in own if p not in set(self.paths)]
+        self.paths = []
+
+
+_RUN: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 _SCRATCH: dict[str, list[str]] = {}
 
 
@@ -33,13 +59,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: later jobs read files that every executor reaches, so a lost
     executor costs no recomputation, and values that depend on how the input was split
-    (row numbers of a partition) are fixed once. The table stays until :func:`forget` or
-    :func:`release`.
+    (row numbers of a partition) are fixed once. The table stays until :func:`forget`, the end
+    of its :class:`Scratch`, or :func:`release`.
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
     df.write.parquet(path)
     _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if _RUN.get():
+        _RUN.get().paths.append(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.scratch_path = path
     return back
@@ -57,11 +85,13 @@ def forget(*tables: DataFrame) -> None:
         own = _SCRATCH.get(df.sparkSession.sparkContext.applicationId, [])
         if df.scratch_path in own:
             own.remove(df.scratch_path)
+            if _RUN.get() and df.scratch_path in _RUN.get().paths:
+                _RUN.get().paths.remove(df.scratch_path)
             _delete(df.sparkSession, [df.scratch_path])
 
 
 def release(spark: SparkSession) -> None:
-    """Delete all written tables of this application; results that read them must be stored."""
+    """Delete all written tables of this application, whoever wrote them: for its end."""
     _delete(spark, _SCRATCH.pop(spark.sparkContext.applicationId, []))
 
 

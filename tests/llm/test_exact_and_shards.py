@@ -90,3 +90,14 @@ def test_one_id_holding_a_third_of_the_rows(spark):
     for s in range(4):
         assert sorted(r.slot for r in rows if r.shard == s) == list(
             range(sum(r.shard == s for r in rows)))
+
+
+def test_shard_is_that_of_the_id_as_text(spark):
+    from pyspark.sql import functions as F
+    ids = spark.range(500).withColumn("text", F.lit("x")).withColumn(
+        "key", F.xxhash64(F.col("id").cast("string")))
+    key = {r.id: r.key % (1 << 64) for r in ids.collect()}
+    for kind in ("int", "bigint", "string"):
+        got = sharding.assign_shards(ids.withColumn("id", F.col("id").cast(kind)), 24, "id")
+        assert {(int(r.doc_id), r.shard, r.grown_shard) for r in got.collect()} == {
+            (i, _jump(k, 24), _jump(k, 25)) for i, k in key.items()}

@@ -79,3 +79,12 @@ def test_single_row_follows_itself(spark):
     t = "one two three four five six"
     assert r.near_next == 1.0
     assert r.edited_sha256 == hashlib.sha256((t[:-9] + t[:9]).encode()).hexdigest()
+
+
+def test_groups_of_empty_sketches_stay(spark):
+    df = spark.createDataFrame([("a", [3, 1], 1), ("a", [2, 1], 1), ("b", [], 1), ("c", None, 1),
+                                (None, [5], 1)], "value string, sketch array<bigint>, rank int")
+    got = fingerprint.merge_groups(df, ["value", "rank"], k=2)
+    assert got.columns == ["value", "rank", "sketch"]
+    assert {r.value: r.sketch for r in got.collect()} == {
+        "a": [1, 2], "b": [], "c": [], None: [5]}

@@ -1,21 +1,25 @@
 """The registered queries and the pipeline over the smallest tables, against brute force."""
 
+import base64
 import collections
 import hashlib
 import zlib
 
 import duckdb
 import numpy as np
+import public_tokenizers
 import pytest
+import tiktoken
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from riskframe.llm import queries as Q
 from riskframe.llm import toxicity
+from riskframe.llm.tables import Scratch, written
 from riskframe.llm.words import Words
 from scripts.check_oracle import rows_of
 
-from helpers import SMALL, WORD_BPE
+from helpers import BYTE_BPE, SMALL, WORD_BPE, odd_docs
 
 
 @pytest.fixture(scope="module")
@@ -94,6 +98,59 @@ def test_pipeline_stages(spark, docs):
     assert marks == {}
 
 
+def test_token_queries_against_the_library(spark, docs):
+    with open(BYTE_BPE, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    tik = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
+                            special_tokens={})
+    ids = {i: tik.encode_ordinary(t) for i, t in docs.items()}
+    for r in Q.op4_byte_bpe(spark, SMALL).collect():
+        want = " ".join(map(str, ids[r.doc_id])).encode()
+        assert tuple(r) == (r.doc_id, len(ids[r.doc_id]), hashlib.sha256(want).hexdigest(),
+                            hashlib.sha256(docs[r.doc_id].encode()).hexdigest())
+    got = Q.op2_token_counts(spark, SMALL)
+    before = next(c for c in got.columns if "before" in c or c == "n_tokens")
+    assert {r.doc_id: r[before] for r in got.collect()} == {i: len(x) for i, x in ids.items()}
+
+
+def test_shards_of_the_query_fill_without_gaps(spark, docs):
+    slots = collections.defaultdict(list)
+    for r in Q.op1_sharding(spark, SMALL).collect():
+        slots[r.shard].append(r.slot)
+        assert r.grown_shard in (r.shard, 24)
+        assert r.size == len(docs[r.doc_id].encode()) + 8
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and max(slots) <= 23
+
+
+def test_pipeline_leaves_tables_of_other_results(spark):
+    before = Q.op9_exact_dedup(spark, SMALL)
+    with Scratch(spark) as scratch:
+        written(spark.range(3).toDF("x"), "own")
+    assert len(scratch.paths) == 1
+    corpus_pipeline.run(spark, SMALL).count()
+    scratch.delete()
+    assert before.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+
+
+def test_stages_stand_awkward_tables(spark):
+    odd = odd_docs(spark, extra=True)
+    for table in (odd, odd.limit(0), odd.unionByName(odd)):
+        texts = sorted({r.text or "" for r in table.collect()})
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, table, SMALL)
+            rows = got.collect()
+            if name == "packing":
+                assert sum(r.length for r in rows) >= table.count()
+                continue
+            assert got.columns == table.columns
+            if name == "exact_dedup":
+                assert sorted(r.text or "" for r in rows) == texts
+            elif name == "toxicity":
+                assert len(rows) == table.count()
+            else:
+                assert {r.text or "" for r in rows} <= set(texts) and bool(rows) == bool(texts)
+
+
 def test_stage_columns(spark):
     source = spark.read.parquet(f"{SMALL}/documents.parquet").limit(40)
     docs = source

@@ -50,6 +50,15 @@ def test_duck_bpe_equals_the_library_and_round_trips(tik):
             assert raw == t.encode()
 
 
+def test_other_patterns_are_not_cut_at_white_space():
+    pattern = r"\w+ \w+|\s|."
+    bpe = byte_bpe.DuckBpe(BYTE_BPE, pattern)
+    enc = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=bpe.ranks,
+                            special_tokens={})
+    for t, (ids, *_) in zip(TEXTS, bpe.encode(TEXTS)):
+        assert ids == " ".join(map(str, enc.encode_ordinary(t)))
+
+
 def test_encode_documents(spark, tik):
     df = odd_docs(spark, extra=True)
     src = collections.Counter((r.doc_id, r.text or "") for r in df.collect())
