@@ -1,6 +1,6 @@
 """Pearson correlations, pairwise-complete.
 
-``corr_target``: one aggregate of null-safe covariance terms per column.
+``corr_target``: pairs of every column with the target in one scan (``column_state``).
 ``corr_matrix``: one pass with per-partition masked Gram matrices (numpy inside
 ``mapInPandas``, one small block per partition) summed by ``groupBy(i, j)``;
 k columns cost k² accumulators regardless of rows.
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import HIGH_CORR_THRESHOLD
+from .column_state import column_state, corr_target_of
 
 # The Gram partial runs in executor Python workers: ship this module's code with
 # the task (by value) so executors need numpy/pandas but not this package.
@@ -41,11 +42,7 @@ def safe_corr(a: Column | str, b: Column | str) -> Column:
 
 def corr_target(df: DataFrame, columns: list[str], target: str = "is_bad") -> DataFrame:
     """(column, corr) of each numeric column with the target, descending."""
-    from .ordered import unpivot_values
-    base = df.withColumn("__y", F.col(target).cast("double"))
-    long = unpivot_values(base, columns, ["__y"], drop_nulls=False)
-    return (long.groupBy("column").agg(safe_corr("value", "__y").alias("corr"))
-            .orderBy(F.col("corr").desc_nulls_last(), F.col("column")))
+    return corr_target_of(column_state(df, columns, target))
 
 
 def _gram_partition(columns: list[str], shift: np.ndarray):

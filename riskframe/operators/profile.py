@@ -1,8 +1,8 @@
 """Profiling aggregates (A1, A2, A5-A10, A17-A25) and the time split.
 
-Every statistic over many columns is ONE aggregate pass (wide) followed by an
-unpivot to a long ``(column, ...)`` table. Quantiles and modes go through
-distributed distinct-value tables, never a single-task ``percentile``/``mode``.
+Statistics over many columns are projections of one state per column, made in one
+scan (``column_state``). Quantiles and modes go through distributed distinct-value
+tables, never a single-task ``percentile``/``mode``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import EDA_SKEW_THRESHOLD, NEAR_ZERO_STD, PLAN_SKEW_THRESHOLD
-from .ordered import exact_quantiles, pct_name, quantiles_wide, unpivot_values
+from . import column_state
+from .ordered import exact_quantiles, pct_name, quantiles_wide
 
 
 def _share(count_col: str, total: int) -> Column:
@@ -43,38 +44,20 @@ def class_balance(df: DataFrame, label: str = "is_bad") -> DataFrame:
 def moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """Bias-adjusted skewness G1 and excess kurtosis G2 per column.
 
-    Spark's ``skewness``/``kurtosis`` are the population g1/g2; the sample
-    versions follow from n. Constant column -> 0; n < 3 (G1) / n < 4 (G2) -> NULL.
+    Constant column -> 0; n < 3 (G1) / n < 4 (G2) -> NULL.
     """
-    long = unpivot_values(df, columns, drop_nulls=False)
-    v = F.col("value")
-    st = long.groupBy("column").agg(F.count(v).alias("n"), F.skewness(v).alias("g1"),
-                                    F.kurtosis(v).alias("g2"), F.min(v).alias("mn"),
-                                    F.max(v).alias("mx"))
-    n = F.col("n").cast("double")
-    const = F.col("mn") == F.col("mx")
-    skew = (F.when(F.col("n") < 3, F.lit(None).cast("double")).when(const, F.lit(0.0))
-            .otherwise(F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2)))
-    kurt = (F.when(F.col("n") < 4, F.lit(None).cast("double")).when(const, F.lit(0.0))
-            .otherwise((n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)))
-    return st.select("column", skew.alias("skewness"), kurt.alias("kurtosis"))
+    return column_state.moments_of(column_state.column_state(df, columns))
 
 
 def high_skew(df: DataFrame, columns: list[str], threshold: float = EDA_SKEW_THRESHOLD) -> DataFrame:
     """Columns with |G1| > threshold, by |G1| desc."""
-    m = moments(df, columns)
-    return (m.filter(F.abs("skewness") > F.lit(float(threshold)))
-            .orderBy(F.abs("skewness").desc(), F.col("column")))
+    return column_state.high_skew_of(column_state.column_state(df, columns), threshold)
 
 
 def skew_partition(df: DataFrame, columns: list[str],
                    threshold: float = PLAN_SKEW_THRESHOLD) -> DataFrame:
     """Population skew g1 (NULLs dropped); |g1| > threshold -> 'skewed' else 'standard' (A8)."""
-    long = unpivot_values(df, columns, drop_nulls=False)
-    st = long.groupBy("column").agg(F.skewness("value").alias("skew"))
-    group = F.when(F.abs("skew") > F.lit(float(threshold)), "skewed").otherwise("standard")
-    return st.select("column", "skew", group.alias("group")).orderBy(F.col("skew").desc_nulls_last(),
-                                                                    F.col("column"))
+    return column_state.skew_partition_of(column_state.column_state(df, columns), threshold)
 
 
 def describe_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
@@ -83,10 +66,7 @@ def describe_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> D
     Exact quantiles (linear interpolation) by default, unlike ``df.summary()``;
     ``exact=False`` uses one approximate sketch pass instead.
     """
-    v = F.col("value")
-    basic = unpivot_values(df, columns, drop_nulls=False).groupBy("column").agg(
-        F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"), F.max(v).alias("max"))
+    basic = column_state.basics_of(column_state.column_state(df, columns))
     q = quantiles_wide(df, columns, [0.25, 0.5, 0.75], exact=exact)
     return (basic.join(q, "column", "left")
             .select("column", "count", "mean", "std", "min",
@@ -98,9 +78,7 @@ def describe_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> D
 def near_zero_variance(df: DataFrame, columns: list[str], threshold: float = NEAR_ZERO_STD
                        ) -> DataFrame:
     """Columns whose sample std is below the threshold (A10)."""
-    st = unpivot_values(df, columns, drop_nulls=False).groupBy("column").agg(
-        F.stddev_samp("value").alias("std"))
-    return st.filter(F.col("std") < F.lit(float(threshold))).orderBy("column")
+    return column_state.near_zero_of(column_state.column_state(df, columns), threshold)
 
 
 def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import clean, correlate, distribution, evaluate, profile, stability
+from ..operators import (clean, column_state, correlate, distribution, evaluate, profile,
+                         stability)
 from ..schema import BAD_STATUSES, EMP_LENGTH_YEARS, GOOD_STATUSES, MODEL_FEATURES
 from ..sources import fixture
 from ..sources.fixture import SPLIT_YEAR, duckdb_with
+from ..session import cut_lineage
 from ..sources.loans import read_loans_csv, write_loans_csv
 
 # --- fixed values: the fixture's column groups --------------------------------
@@ -302,6 +304,13 @@ def _d(c: str) -> str:
     return f"CAST({c} AS DOUBLE)"
 
 
+def _corr_sql(x: str, y: str, frame: str = "definitive") -> str:
+    xs, ys = _d(x), _d(y)
+    pair = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
+    return (f"CASE WHEN count(*) {pair} < 2 OR min({xs}) {pair} = max({xs}) {pair} "
+            f"OR min({ys}) {pair} = max({ys}) {pair} THEN NULL ELSE corr({xs}, {ys}) END")
+
+
 def _moments_sql(cols) -> str:
     return _union([
         f"SELECT '{c}' AS column, "
@@ -349,6 +358,32 @@ def q_near_zero_variance(spark, sf):
     return profile.near_zero_variance(_definitive(spark, sf), NUM_COLS)
 
 
+_PROFILE_COLS = [*NUM_COLS, "is_bad"]
+
+
+@register("profile_increments", duckdb_with("definitive") + ", " + f"""
+m AS ({_moments_sql(_PROFILE_COLS)}), p AS (""" + _union([
+    f"SELECT '{c}' AS column, count(*) AS n_rows, count(*) - count({c}) AS n_missing, avg({_d(c)}) AS mean, "
+    f"stddev_samp({_d(c)}) AS std, min({_d(c)}) AS mn, max({_d(c)}) AS mx, {_corr_sql(c, 'is_bad')} AS corr "
+    f"FROM definitive" for c in _PROFILE_COLS]) + f""")
+SELECT p.column, n_rows, n_missing, {r6('mean')} AS mean, {r6('std')} AS std, {r6('mn')} AS mn, {r6('mx')} AS mx,
+  {r6('skewness')} AS skewness, {r6('kurtosis')} AS kurtosis, {r6('corr')} AS corr FROM p JOIN m ON p.column = m.column""")
+def q_profile_increments(spark, sf):
+    """The loans come year by year: each year's state is saved, and the profile of all columns is
+    read from the merged states alone (A3, A5, A6, A9, A11)."""
+    path = _shared(spark, "profile")
+    d = _definitive(spark, sf)
+    years = column_state.column_state(d, _PROFILE_COLS, "is_bad", ("issue_year",))
+    column_state.save_state(years, path)
+    state = cut_lineage(column_state.load_state(spark, path))
+    parts = [column_state.moments_of(state), column_state.corr_target_of(state)]
+    out = state.select("column", "n_rows", "n_missing", "mean", "mn", "mx").join(
+        column_state.basics_of(state).select("column", "std"), "column")
+    for p in parts:
+        out = out.join(p, "column")
+    return out
+
+
 def _long_sql(frame: str, cols: list[str], extra: str = "", cast: str = "VARCHAR") -> str:
     return _union([f"SELECT {extra}'{c}' AS column, CAST({c} AS {cast}) AS value FROM {frame} "
                    f"WHERE {c} IS NOT NULL" for c in cols])
@@ -432,13 +467,6 @@ def q_impute_mode(spark, sf):
 
 
 # --- correlations (A11-A13) ----------------------------------------------------
-def _corr_sql(x: str, y: str, frame: str = "definitive") -> str:
-    xs, ys = _d(x), _d(y)
-    pair = f"FILTER (WHERE {x} IS NOT NULL AND {y} IS NOT NULL)"
-    return (f"CASE WHEN count(*) {pair} < 2 OR min({xs}) {pair} = max({xs}) {pair} "
-            f"OR min({ys}) {pair} = max({ys}) {pair} THEN NULL ELSE corr({xs}, {ys}) END")
-
-
 _CORR_TARGET_COLS = NUM_COLS + ["is_bad"]
 
 
