@@ -219,37 +219,160 @@ class NumericScalerModel(_NumericModel):
     pass
 
 
-# Yeo-Johnson λ search: first bracket, points per pass and precision.
-YJ_BRACKET = (-2.0, 2.0)
-YJ_GRID = 9
+# Yeo-Johnson λ search: points of the first scan and precision.
+YJ_FIRST = tuple(-2.0 + 0.5 * k for k in range(9))
 YJ_TOLERANCE = 1e-5
 # Spreads below this share of the mean are rounding errors of the map, not data.
 YJ_ROUNDING = 1e-10
 
 
-def fit_yeo_johnson_lambdas(df: DataFrame, cols: list[str], bracket=YJ_BRACKET,
-                            grid: int = YJ_GRID, tolerance: float = YJ_TOLERANCE) -> list[float]:
-    """Maximum-likelihood λ per column, all columns per aggregate pass.
+def fit_yeo_johnson_lambdas(df: DataFrame, cols: list[str],
+                            tolerance: float = YJ_TOLERANCE) -> list[float]:
+    """Maximum-likelihood λ per column, all columns per scan (X5); see :func:`search_lambdas`."""
+    return search_lambdas(df, cols, tolerance)[0]
 
-    log L(λ) = −n/2·ln(var_pop(y_λ)) + (λ−1)·Σ sign(x)·ln(1+|x|). The second
-    sum does not depend on λ and is computed once. Each pass evaluates a grid of
-    λ for every column in one aggregate. ``bracket`` is only where the search
-    starts: while the best point lies on an end of a column's grid, the grid
-    moves outwards and doubles; once it lies inside, the grid narrows around it.
-    No λ is too far: in both directions the likelihood falls, or the map overflows
-    or loses its spread, which scores −inf. A column without spread keeps λ = 1.
+
+def search_lambdas(df: DataFrame, cols: list[str],
+                   tolerance: float = YJ_TOLERANCE) -> tuple[list[float], int]:
+    """(λ per column, number of scans): Newton steps kept inside a bracket.
+
+    log L(λ) = −n/2·ln(var_pop(y_λ)) + (λ−1)·Σ sign(x)·ln(1+|x|). Every scan evaluates it with
+    its derivatives at a few λ for all open columns in one aggregate. The first scan looks at
+    [-2, 2]; a column whose best point is an end goes outwards by doubling steps, whose unit is
+    one over the spread of its ln(1 + |x|), so that no λ is too far. Once the slope changes
+    sign between two points, the next ones lie around the Newton (or secant) point between them.
+    In both directions the likelihood falls, or the map overflows or loses its spread, which
+    scores −inf. A column without spread keeps λ = 1.
     """
     if not cols:
-        return []
-    # Several aggregate passes: persist only the columns involved (spills to disk
-    # if needed; recomputed from lineage if an executor is lost).
+        return [], 0
+    # Several scans: persist only the columns involved (spills to disk if needed; recomputed
+    # from lineage if an executor is lost).
     df = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).persist()
     try:
-        return _search_lambdas(df, cols, bracket, grid, tolerance)
+        best = {c: 1.0 for c in cols}
+        points = {c: list(YJ_FIRST) for c in cols}
+        seen: dict[str, list[_Likelihood]] = {c: [] for c in cols}
+        scans = 0
+        while points:
+            scans += 1
+            got = {r["column"]: r for r in _slopes(df, points, second=scans > 1).collect()}
+            for c in list(points):
+                found = _evaluated(got.get(c), points[c], scans > 1)
+                seen[c] = sorted(seen[c] + found, key=lambda p: p.lam)
+                best[c], points[c] = _next_points(
+                    seen[c], got[c]["s"] if c in got else None, tolerance)
+                if not points[c]:
+                    del points[c]
+        return [best[c] for c in cols], scans
     finally:
         df.unpersist()
 
 
+class _Likelihood:
+    """Value, slope and (where known) curvature of the log-likelihood at one λ."""
+
+    def __init__(self, lam: float, value: float, slope: float | None, curve: float | None):
+        self.lam, self.value, self.slope, self.curve = lam, value, slope, curve
+
+    @property
+    def newton(self) -> float | None:
+        if self.slope is None or self.curve is None or self.curve >= 0:
+            return None
+        return self.lam - self.slope / self.curve
+
+
+def _map_terms(x: Column, lam: Column) -> tuple[Column, Column, Column]:
+    """The Yeo-Johnson map and its first two derivatives by λ.
+
+    With L = ln(1 + |x|) and z = λL (or (2 − λ)L for x < 0) they are ±L f(z), L² f'(z) and
+    ±L³ f''(z) of f(z) = (e^z − 1) / z; near 0 by their power series.
+    """
+    length = F.log1p(F.abs(x))
+    z = F.when(x >= 0, lam).otherwise(F.lit(2.0) - lam) * length
+    sign, e, near = F.when(x >= 0, 1.0).otherwise(-1.0), F.exp(z), F.abs(z) < 0.1
+
+    def series(first: int) -> Column:
+        out = F.lit(0.0)
+        for j in range(8, -1, -1):  # sum of z^j / (j! (j + first))
+            out = out * z + F.lit(1.0 / (math.factorial(j) * (j + first)))
+        return out
+
+    f0 = F.when(near, series(1)).otherwise((e - 1.0) / z)
+    f1 = F.when(near, series(2)).otherwise((e * (z - 1.0) + 1.0) / (z * z))
+    f2 = F.when(near, series(3)).otherwise((e * (z * z - 2.0 * z + 2.0) - 2.0) / (z * z * z))
+    return sign * length * f0, length * length * f1, sign * length * length * length * f2
+
+
+def _slopes(df: DataFrame, points: dict[str, list[float]], second: bool) -> DataFrame:
+    """(column, n, t, s, at): per λ of its points the mean and variance of the mapped values and
+    their covariances with the derivatives. Every value carries its column's points."""
+    width = max(len(p) for p in points.values())
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value"),
+                 F.array(*[F.lit(float(v)) for v in p + p[-1:] * (width - len(p))]).alias("lams"))
+        for c, p in points.items()]))).filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    x = F.col("value")
+    ln = F.signum(x) * F.log1p(F.abs(x))
+    at = []
+    for k in range(width):
+        y, y1, y2 = _map_terms(x, F.get("lams", F.lit(k)))
+        at.append(F.struct(
+            F.avg(y).alias("mean"), F.var_pop(y).alias("var"), F.covar_pop(y, y1).alias("c1"),
+            *([F.var_pop(y1).alias("v1"), F.covar_pop(y, y2).alias("c2")] if second else [])))
+    return long.groupBy("column").agg(F.count(x).alias("n"), F.sum(ln).alias("t"),
+                                      F.stddev_pop(ln).alias("s"), F.array(*at).alias("at"))
+
+
+def _evaluated(row, lams: list[float], second: bool) -> list[_Likelihood]:
+    out = []
+    for i, lam in enumerate(lams):
+        at = row["at"][i] if row and row["n"] > 1 else None
+        var = at["var"] if at else None
+        if var is None or not math.isfinite(var) or not math.isfinite(at["mean"]) \
+                or var <= (YJ_ROUNDING * at["mean"]) ** 2:
+            out.append(_Likelihood(lam, -math.inf, None, None))
+            continue
+        n = row["n"]
+        slope = -n * at["c1"] / var + row["t"]
+        curve = None
+        if second and math.isfinite(at["v1"]) and math.isfinite(at["c2"]):
+            curve = -n * ((at["v1"] + at["c2"]) / var - 2.0 * (at["c1"] / var) ** 2)
+        out.append(_Likelihood(lam, -n / 2.0 * math.log(var) + (lam - 1.0) * row["t"],
+                               slope if math.isfinite(slope) else None, curve))
+    return out
+
+
+def _next_points(seen: list[_Likelihood], spread: float | None, tolerance: float
+                 ) -> tuple[float, list[float]]:
+    """(best λ so far, points of the next scan; none: done) from all points in order of λ."""
+    k = max(range(len(seen)), key=lambda i: (seen[i].value, -abs(seen[i].lam - 1.0)))
+    top = seen[k]
+    if top.value == -math.inf:
+        return 1.0, []
+    enough = tolerance * max(1.0, abs(top.lam))
+    up = top.slope is not None and top.slope > 0
+    if k == (len(seen) - 1 if up else 0) and top.slope:
+        # The likelihood still rises at the end: outwards, in units of the column's own scale.
+        unit = max(1.0 / spread if spread else 1.0, seen[-1].lam - seen[0].lam)
+        return top.lam, [top.lam + (1 if up else -1) * unit * 2.0 ** j for j in range(-4, 4)]
+    other = seen[k + 1] if up else seen[k - 1]
+    lo, hi = min(top.lam, other.lam), max(top.lam, other.lam)
+    guess = top.newton
+    if guess is not None and lo <= guess <= hi and abs(guess - top.lam) <= enough:
+        return guess, []
+    if hi - lo <= enough or top.slope == 0:
+        return top.lam, []
+    if guess is None or not lo < guess < hi:
+        guess = lo + (hi - lo) / 2
+        if top.slope is not None and other.slope is not None and top.slope * other.slope < 0:
+            guess = top.lam + (other.lam - top.lam) * top.slope / (top.slope - other.slope)
+    wide = hi - lo
+    near = [guess + wide * f for f in (-1 / 8, -1 / 100, 0, 1 / 100, 1 / 8)]
+    inside = sorted({p for p in near if lo < p < hi})
+    return top.lam, inside or [lo + wide / 2]
+
+
 def yeo_johnson_likelihoods(df: DataFrame, lams: dict[str, list[float]]) -> DataFrame:
     """(column, n, t, v): per column, the variances ``v`` after the map at each λ of its grid.
 
@@ -274,44 +397,6 @@ def _spread(y) -> Column:
     return F.when(var > F.pow(F.lit(YJ_ROUNDING) * mean, F.lit(2.0)), var).otherwise(F.lit(0.0))
 
 
-def _log_likelihood(n: int, t: float, variance: float | None, lam: float) -> float:
-    ok = variance is not None and math.isfinite(variance) and variance > 0
-    return -n / 2.0 * math.log(variance) + (lam - 1.0) * t if ok else -math.inf
-
-
-def _search_lambdas(df: DataFrame, cols: list[str], bracket, grid: int,
-                    tolerance: float) -> list[float]:
-    ends = {c: bracket for c in cols}
-    best = {c: 1.0 for c in cols}
-    moved: dict[str, int] = {}   # -1 or 1: outwards so far; 0: the best has been inside
-    while ends:
-        lams = {c: [lo + (hi - lo) * k / (grid - 1) for k in range(grid)]
-                for c, (lo, hi) in ends.items()}
-        got = {r["column"]: r for r in yeo_johnson_likelihoods(df, lams).collect()}
-        for c, (lo, hi) in list(ends.items()):
-            r = got.get(c)
-            scores = [_log_likelihood(r["n"], r["t"], v, lam) if r and r["n"] > 1 else -math.inf
-                      for lam, v in zip(lams[c], r["v"] if r else [None] * grid)]
-            k = max(range(grid), key=lambda i: (scores[i], -abs(lams[c][i] - 1.0)))
-            if scores[k] == -math.inf:
-                del ends[c]
-                continue
-            best[c], step = lams[c][k], (hi - lo) / (grid - 1)
-            # Outwards only from the first bracket or onwards in the same direction: any other
-            # end has a worse point beyond it that an earlier pass has seen.
-            if k == 0 and moved.get(c, -1) == -1:
-                moved[c], ends[c] = -1, (lo + step - 2 * (hi - lo), lo + step)
-            elif k == grid - 1 and moved.get(c, 1) == 1:
-                moved[c], ends[c] = 1, (hi - step, hi - step + 2 * (hi - lo))
-            elif step > tolerance * max(1.0, abs(best[c])):
-                moved[c] = 0
-                ends[c] = (best[c] if k == 0 else best[c] - step,
-                           best[c] if k == grid - 1 else best[c] + step)
-            else:
-                del ends[c]
-    return [best[c] for c in cols]
-
-
 class SkewedNumericScaler(Estimator, _ColsParams, _Stage):
     """Median imputation -> Yeo-Johnson (λ by max likelihood) -> standardisation."""
 

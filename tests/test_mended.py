@@ -106,6 +106,24 @@ def test_kde_of_heavy_tails_equals_the_direct_sum(spark):
         assert r.density == pytest.approx(want, rel=1e-9, abs=1e-18)
 
 
+@pytest.mark.parametrize("kind", ["uniform", "two_peaks", "far_from_zero", "few"])
+def test_kde_series_equals_the_direct_sum(spark, kind):
+    rng = np.random.default_rng(4)
+    x = {"uniform": rng.random(3000), "two_peaks": np.append(rng.normal(0, 1, 2000), rng.normal(40, .1, 50)),
+         "far_from_zero": 1e6 + rng.normal(0, 1, 2000), "few": np.array([1.0, 2.0, 7.0])}[kind]
+    df = frame(spark, x=x)
+    got = distribution.kde_curve(df, ["x"]).collect()
+    h = x.std(ddof=1) * len(x) ** -0.2
+    want = [np.exp(-0.5 * ((r.x - x) / h) ** 2).sum() / (len(x) * h * math.sqrt(2 * math.pi))
+            for r in got]
+    assert len(got) == 200
+    assert [r.density for r in got] == pytest.approx(want, rel=1e-9, abs=1e-12 * max(want))
+    _, cells = distribution.kde_cells(df, ["x"])
+    assert cells.count() < len(x) / (10 if len(x) > 100 else 0.5)
+    plan = cells._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" not in plan
+
+
 @pytest.mark.parametrize("kind", ["zero_inflated", "heavy", "bell"])
 def test_histogram_equals_numpy_auto(spark, kind):
     rng = np.random.default_rng(2)
@@ -200,3 +218,36 @@ def test_mode_ties_of_many_values(spark):
     df = spark.range(3000).select((F.col("id") % 1500).cast("string").alias("c"))
     r = profile.impute_mode(df, ["c"]).first()
     assert (r["mode"], r["count"]) == ("0", 2)
+
+
+def test_lambdas_of_all_scales_take_few_scans(spark):
+    rng = np.random.default_rng(5)
+    n = 3000
+    x = {"left": 100 - rng.exponential(3, n), "plain": rng.normal(10, 2, n),
+         "fractions": 0.001 * (1 - rng.exponential(0.03, n)), "income": rng.lognormal(11, 0.8, n),
+         "signed": rng.standard_t(4, n), "counts": rng.poisson(0.3, n).astype(float),
+         "negative": -rng.lognormal(2, 1, n), "one": 1 - rng.exponential(0.03, n)}
+    lams, scans = X.search_lambdas(frame(spark, **x), list(x))
+    assert scans <= 6
+    for (name, v), lam in zip(x.items(), lams):
+        step = 1e-3 * max(1.0, abs(lam))
+        here, below, above = (log_likelihood(v, lam + d) for d in (0, -step, step))
+        assert here >= below and here >= above, name
+        # The slope at λ, in units of the curvature, is a hundredth of the step.
+        assert abs((above - below) / (above - 2 * here + below)) / 2 < 0.02, name
+
+
+def test_derivatives_of_the_map(spark):
+    rows = [(x, lam) for x in (-30.0, -0.5, -1e-9, 0.0, 1e-6, 0.04, 3.0, 900.0)
+            for lam in (-2.0, 0.0, 1e-9, 0.3, 1.0, 2.0, 2.0 + 1e-9, 3.5)]
+    df = spark.createDataFrame(rows, "x double, lam double")
+    for r in df.select("x", "lam", *[c.alias(n) for n, c in zip(
+            ("y", "d1", "d2"), X._map_terms(F.col("x"), F.col("lam")))]).collect():
+        def y(lam):
+            m = math.log1p(abs(r.x)) * (lam if r.x >= 0 else 2 - lam)
+            return math.copysign(1, r.x) * math.log1p(abs(r.x)) * (math.expm1(m) / m if m else 1)
+        e = 1e-4
+        assert r.y == pytest.approx(y(r.lam), rel=1e-12, abs=1e-15)
+        assert r.d1 == pytest.approx((y(r.lam + e) - y(r.lam - e)) / (2 * e), rel=1e-5, abs=1e-11)
+        assert r.d2 == pytest.approx((y(r.lam + e) - 2 * y(r.lam) + y(r.lam - e)) / e ** 2,
+                                     rel=1e-3, abs=1e-6 * max(1, abs(r.y)))
