@@ -4,9 +4,10 @@ The standard library's parser streams events. A *line* is the text of one block
 stands in elements that are no content by their kind (scripts, navigation, forms, adverts,
 comments and so on) is marked as such. Each line has a ratio of its text's length to the tags
 met since the line before. The ratios are smoothed by a Gaussian along the page, and lines above
-a threshold form clusters (Weninger and Hsu, 2008). The content region is the enclosing element
-of the page (article, main, or the part of the body between such marks) where clusters hold the
-most text; all of its lines are returned, so short paragraphs between long ones stay.
+a threshold form clusters (Weninger and Hsu, 2008). The content regions are the page's article
+and main elements that hold text of a cluster, or, where clusters outside of them hold more, the
+part of the body between the first and the last cluster; all of their unmarked lines are
+returned, so short paragraphs between long ones stay.
 """
 
 from __future__ import annotations
@@ -48,6 +49,8 @@ SHUT = {"comment", "comments", "commentlist", "replies", "respond", "disqus", "r
 #: Before a mark these say that a wrapper has (or lacks) such a part, not that it is one.
 ABOUT = {"has", "no", "not", "with", "without", "is"}
 REGIONS = {"article", "main"}
+#: A line's ratio counts up to this: one very long paragraph must not outweigh all others.
+RATIO_MOST = 100.0
 _NAME = re.compile(r"[^a-z0-9]+")
 
 
@@ -56,11 +59,13 @@ class _Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, bool, tuple[int, ...]]] = []
         self.parts: list[str] = []
         self.tags = 0
         self.stack: list[str] = []        # open non-void elements
-        self.off: list[tuple[int, str, bool]] = []  # open no-content: depth, tag, shut
+        #: Open no-content elements: depth, tag, shut, number (0: by its kind, not by a word).
+        self.off: list[tuple[int, str, bool, int]] = []
+        self.n_marks = 0
         self.regions: list[tuple[int, int]] = []  # depth and number of the open region
         self.n_regions = 0
 
@@ -69,11 +74,12 @@ class _Lines(HTMLParser):
         self.parts.clear()
         if text:
             self.lines.append((text, self.tags, self.regions[-1][1] if self.regions else 0,
-                               not self.off))
+                               not self.off, tuple(n for *_, n in self.off)))
             self.tags = 0
 
     def _no_content(self, tag: str, attrs: list) -> str:
-        """'' for content, 'shut' where not even an article inside is content, else 'open'."""
+        """'' for content, 'shut' where not even an article inside is content, else 'open', or
+        'named' where only a word in a class or id says so."""
         if tag in NO_CONTENT:
             return "shut"
         if tag in ("html", "body"):
@@ -96,7 +102,7 @@ class _Lines(HTMLParser):
                     if SHUT.intersection(names):
                         return "shut"
                     if MARKS.intersection(names) and tag not in REGIONS:
-                        return "open"
+                        return "named"
         return ""
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
@@ -110,13 +116,15 @@ class _Lines(HTMLParser):
         if self.off and self.off[-1][1] == "p" and tag not in INLINE:
             self._close(self.off[-1][0])  # a paragraph ends where the next block begins
         skip = self._no_content(tag, attrs)
-        if tag in REGIONS and not skip and self.off and not any(shut for *_, shut in self.off):
+        if tag in REGIONS and not skip and self.off and not any(shut for _, _, shut, _ in self.off):
             self._close(self.off[0][0])  # no article sits inside an advert: it was left open
         depth = len(self.stack)
         self.stack.append(tag)
         if skip:
             self._flush()
-            self.off.append((depth, tag, skip == "shut"))
+            self.n_marks += skip == "named"
+            self.off.append((depth, tag, skip == "shut",
+                             self.n_marks if skip == "named" else 0))
         elif tag in REGIONS and not self.off and not self.regions:
             self.n_regions += 1
             self.regions.append((depth, self.n_regions))
@@ -155,10 +163,25 @@ class _Lines(HTMLParser):
         self.parts.append(data)
 
     def page_lines(self, html: str) -> list[tuple[str, int, int, bool]]:
+        """(text, tags, region, content?) of every line.
+
+        On a page without text in an article or main element, a word in a class or id says
+        nothing where the element holds most of the page's text.
+        """
         self.feed(html)
         self.close()
         self._flush()
-        return self.lines
+        inside = [0] * (self.n_marks + 1)
+        whole = 0
+        for text, _, _, _, marks in self.lines:
+            if 0 not in marks:
+                whole += len(text)
+                for n in set(marks):
+                    inside[n] += len(text)
+        plain = not any(region and content for _, _, region, content, _ in self.lines)
+        wrappers = {n for n, size in enumerate(inside) if n and plain and 2 * size > whole}
+        return [(text, tags, region, wrappers.issuperset(marks))
+                for text, tags, region, _, marks in self.lines]
 
 
 def smoothed(ratios: np.ndarray, sigma: float = 1.0) -> np.ndarray:
@@ -174,7 +197,7 @@ def main_text(html: str) -> str:
     lines = _Lines().page_lines(html)
     if not any(content for *_, content in lines):
         return ""
-    ratio = np.array([len(text) / max(1, tags) if content else 0.0
+    ratio = np.array([min(RATIO_MOST, len(text) / max(1, tags)) if content else 0.0
                       for text, tags, _, content in lines])
     smooth = smoothed(ratio)
     inside = smooth >= min(smooth.std(), smooth.max())
@@ -183,9 +206,9 @@ def main_text(html: str) -> str:
         if content:
             weight[region] = weight.get(region, 0) + (len(text) if core else 0)
     best = max(weight, key=lambda r: (weight[r], -r))
-    if best:  # an article or main element (one nested in another counts to it)
+    if best:  # article or main elements with text in a cluster (one nested in another is it)
         chosen = [t for t, _, region, content in lines if content and region and
-                  2 * weight[region] >= weight[best]]
+                  (weight[region] or not weight[best])]
     else:
         own = [i for i, (_, _, region, content) in enumerate(lines) if content and not region]
         core = [i for i in own if inside[i]]

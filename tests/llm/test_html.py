@@ -48,6 +48,30 @@ def test_without_marks_the_cluster_of_long_lines_is_taken():
     assert "m5" not in text
 
 
+def test_every_article_and_both_ends_stay():
+    short = "A real second article, whole."
+    html = f"<body><article><p>{P[0] * 9}</p></article><article><p>{short}</p></article></body>"
+    assert main_text(html) == f"{P[0] * 9} {short}"
+    html = f"<body><h1>Headline</h1><p>{P[1] * 30}</p><p>Short end.</p></body>"
+    assert main_text(html) == f"Headline {P[1] * 30} Short end."
+
+
+def test_a_word_on_a_wrapper_of_most_of_the_page_says_nothing():
+    page = "<body><div class='layout-sidebar'><h1>Head</h1><p>{}</p></div><div class='ad'>buy</div>"
+    assert main_text(page.format(P[0])) == f"Head {P[0]}"
+    # An article, however short, is the page's text: then words count again.
+    assert main_text(f"<article>tiny</article><div class='sidebar'>{P[0]}</div>") == "tiny"
+
+
+def test_the_ratio_decides_where_no_mark_does(monkeypatch):
+    menu = "".join(f"<div><a>m{i}</a><a>n{i}</a></div>" for i in range(12))
+    html = f"<body>{menu}<div>{P[0]}</div><div>{P[1]}</div>{menu}</body>"
+    with_ratio = main_text(html)
+    monkeypatch.setattr(html_content, "smoothed", lambda r, sigma=1.0: np.ones(len(r)))
+    assert f"{P[0]} {P[1]}" in with_ratio and "m5" not in with_ratio
+    assert "m5" in main_text(html)
+
+
 def test_smoothing_keeps_a_constant():
     assert np.allclose(html_content.smoothed(np.full(9, 3.0)), 3.0)
 
