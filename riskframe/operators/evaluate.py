@@ -245,12 +245,13 @@ def model_comparison(scored: dict[str, DataFrame], threshold: float = 0.5, label
                      score: str = "score") -> DataFrame:
     """One row per model: ROC AUC, PR AUC, F1 of class 1 at the threshold.
 
-    Each model's metrics are one-row aggregates; only those rows reach the driver.
+    The models' scores are one table (model, label, score) and one set of jobs, however many
+    models there are.
     """
-    rows = []
-    for name, df in scored.items():
-        m = curve_metrics(df, label, score).first()
-        f = f1_bad(df, threshold, label, score).first()
-        rows.append((name, m["roc_auc"], m["pr_auc"], f["f1"]))
-    spark = next(iter(scored.values())).sparkSession
-    return spark.createDataFrame(rows, "model string, roc_auc double, pr_auc double, f1_bad double")
+    from functools import reduce
+    from .group_curves import metrics_by
+    rows = reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("model"), F.col(label).alias("label"),
+                  F.col(score).cast("double").alias("score")) for name, df in scored.items()])
+    return metrics_by(rows, ["model"], threshold).select(
+        "model", "roc_auc", "pr_auc", F.col("f1").alias("f1_bad"))

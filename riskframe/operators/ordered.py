@@ -116,6 +116,29 @@ def cumulative_sums(df: DataFrame, order_col: str, sum_cols: list[str],
         *[(F.sum(c).over(w) + F.col(f"__o_{c}")).alias(f"cum_{c}") for c in sum_cols])
 
 
+def with_next(df: DataFrame, order_col: str, cols: list[str], group_cols: list[str] | None = None,
+              descending: bool = False, rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
+              n_rows: int | None = None) -> DataFrame:
+    """Adds ``next_<c>``: the values of the row that follows in order within the group (NULL for
+    the last). ``df`` is as for :func:`cumulative_sums`; rows are ordered inside buckets, and the
+    first row of every bucket (a small table) is carried to the bucket before it.
+    """
+    group_cols = list(group_cols or [])
+    n = df.count() if n_rows is None else n_rows
+    b = add_buckets(df, order_col, max(1, math.ceil(n / max(1, rows_per_bucket))))
+    if descending:
+        b = b.withColumn("__bucket", -F.col("__bucket"))
+    keys = group_cols + ["__bucket"]
+    first = F.max_by if descending else F.min_by
+    heads = b.groupBy(*keys).agg(first(F.struct(*cols), order_col).alias("__head"))
+    part = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
+    heads = heads.select(*keys, F.lead("__head").over(part.orderBy("__bucket")).alias("__after"))
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    inside = F.lead(F.struct(*cols)).over(Window.partitionBy(*keys).orderBy(order))
+    got = b.join(heads, keys).withColumn("__next", F.coalesce(inside, F.col("__after")))
+    return got.select(*df.columns, *[F.col("__next").getField(c).alias(f"next_{c}") for c in cols])
+
+
 def unpivot_values(df: DataFrame, columns: list[str], group_cols: list[str] | None = None,
                    drop_nulls: bool = True) -> DataFrame:
     """Long ``(group..., column, value double)``; NULL and NaN removed unless asked to keep.

@@ -9,6 +9,7 @@ edges and bin counts reaches the driver.
 
 from __future__ import annotations
 
+import json
 import math
 
 import numpy as np
@@ -115,3 +116,89 @@ def psi_value(df: DataFrame, **kw) -> float | None:
     r = psi(df, **kw).first()
     v = r["psi"]
     return None if v is None or (isinstance(v, float) and math.isnan(v)) else float(v)
+
+
+# --- a kept baseline ------------------------------------------------------------------------
+
+class PsiBaseline:
+    """Quantile edges and counts of the expected side, kept so that later batches are compared
+    without its rows, with the result of the two-sided :func:`psi`.
+
+    Cells are finer than bins: ``0 .. m - 1`` between the m + 1 edges, ``m`` the largest expected
+    value itself, ``m + 1`` above and ``-2`` below all edges, ``-1`` NULL and NaN. Where a batch
+    reaches beyond the edges, the two-sided form has one bin more on that side; the largest
+    expected value then belongs to the upper one. Counts of batches add up, so a month is the sum
+    of its days.
+    """
+
+    BELOW, NULL = -2, -1
+
+    def __init__(self, edges: list[float], counts: dict[int, int]):
+        self.edges = [float(e) for e in edges]
+        self.counts = {int(k): int(v) for k, v in counts.items()}
+
+    @classmethod
+    def fit(cls, df: DataFrame, value: str = "value", bins: int = 10) -> PsiBaseline | None:
+        """Edges by exact quantiles of the values there are; None for a constant or no value."""
+        values = df.select(F.col(value).cast("double").alias("v"))
+        got = exact_quantiles(values, ["v"], [i / bins for i in range(bins + 1)]).collect()
+        edges = sorted({float(r["value"]) for r in got})
+        if len(edges) < 2:
+            return None
+        counts = cls(edges, {}).counts_of(values, "v").collect()  # a row per cell
+        return cls(edges, {r["cell"]: r["n"] for r in counts})
+
+    def counts_of(self, df: DataFrame, value: str = "value", group_cols: tuple[str, ...] = ()
+                  ) -> DataFrame:
+        """(group..., cell, n) of a batch: one aggregate, and the part that is kept and added."""
+        x, m = F.col(value).cast("double"), len(self.edges) - 1
+        cell = F.when(x.isNull() | F.isnan(x), self.NULL).when(x < F.lit(self.edges[0]), self.BELOW)
+        for i, e in enumerate(self.edges[1:]):
+            cell = cell.when(x < F.lit(e), i)
+        cell = cell.when(x == F.lit(self.edges[-1]), m).otherwise(m + 1)
+        return df.select(*group_cols, cell.cast("int").alias("cell")).groupBy(
+            *group_cols, "cell").agg(F.count(F.lit(1)).alias("n"))
+
+    def compare(self, counts: DataFrame, group_cols: tuple[str, ...] = ()) -> DataFrame:
+        """(group..., psi, n_bins, n_rows, band) per group of a table of counts."""
+        m, total = len(self.edges) - 1, sum(self.counts.values())
+        wide = counts.groupBy(*group_cols).agg(*[
+            F.coalesce(F.sum(F.when(F.col("cell") == c, F.col("n"))), F.lit(0)).alias(f"__{i}")
+            for i, c in enumerate([self.NULL, self.BELOW, *range(m + 2)])],
+            F.sum("n").alias("n_rows"))
+        a = {c: F.col(f"__{i}") for i, c in enumerate([self.NULL, self.BELOW, *range(m + 2)])}
+        e = {c: self.counts.get(c, 0) for c in a}
+        top, over = a[m + 1] > 0, [F.lit(e[c]) for c in (m - 1, m)]
+        # (expected, actual) per bin; a bin that neither side has adds nothing.
+        pairs = [(F.lit(e[c]), a[c]) for c in (self.NULL, self.BELOW, *range(m - 1))]
+        pairs += [(F.when(top, over[0]).otherwise(over[0] + over[1]),
+                   F.when(top, a[m - 1]).otherwise(a[m - 1] + a[m])),
+                  (F.when(top, over[1]).otherwise(F.lit(0)),
+                   F.when(top, a[m] + a[m + 1]).otherwise(F.lit(0)))]
+
+        def share(n: Column, of: Column) -> Column:
+            return F.when(n == 0, F.lit(ZERO_SHARE)).otherwise(n / of)
+
+        psi_sum = F.lit(0.0)
+        for ex, ac in pairs:
+            es, as_ = share(ex, F.lit(float(total))), share(ac, F.col("n_rows"))
+            psi_sum = psi_sum + F.when((ex == 0) & (ac == 0), F.lit(0.0)).otherwise(
+                (as_ - es) * F.log(as_ / es))
+        n_bins = F.lit(m) + top.cast("int") + (a[self.BELOW] > 0).cast("int")
+        filled = [((ex > 0) | (ac > 0)).cast("int") for ex, ac in pairs[1:]]
+        used = F.lit(0)
+        for f in filled:
+            used = used + f
+        return wide.select(*group_cols, F.when(n_bins > 1, psi_sum).alias("psi"),
+                           F.when(n_bins > 1, used).otherwise(F.lit(0)).alias("n_bins"),
+                           "n_rows").withColumn("band", psi_band("psi"))
+
+    def save(self, spark, path: str) -> None:
+        """Written as a small text folder, beside a saved Scorer for instance."""
+        text = json.dumps({"edges": self.edges, "counts": self.counts})
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode(
+            "overwrite").text(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> PsiBaseline:
+        return cls(**json.loads(spark.read.text(path).first()["value"]))

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import (clean, column_state, correlate, distribution, evaluate, profile,
-                         stability)
+from ..operators import (clean, column_state, correlate, distribution, evaluate, group_curves,
+                         profile, stability)
 from ..schema import BAD_STATUSES, EMP_LENGTH_YEARS, GOOD_STATUSES, MODEL_FEATURES
 from ..sources import fixture
 from ..sources.fixture import SPLIT_YEAR, duckdb_with
@@ -620,6 +620,66 @@ def q_pr_auc(spark, sf):
     return evaluate.pr_auc(_test_scores(spark, sf))
 
 
+# Prices as scores of finished orders in five groups: thousands of distinct values, several
+# buckets. The SQL takes areas and neighbours by lag and lead over the group's points.
+_BY = """WITH g AS (SELECT o_orderkey % 5 AS part, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS label,
+        CAST(o_totalprice AS DOUBLE) AS score FROM orders),
+c AS (SELECT part, score, CAST(count_if(label = 1) AS DOUBLE) AS pos, CAST(count_if(label = 0) AS DOUBLE) AS neg
+      FROM g GROUP BY part, score),
+cum AS (SELECT *, sum(pos) OVER u AS tp, sum(neg) OVER u AS fp, sum(pos) OVER (PARTITION BY part) AS P,
+          sum(neg) OVER (PARTITION BY part) AS N FROM c WINDOW u AS (PARTITION BY part ORDER BY score DESC)),
+pts AS (SELECT *, lag(tp / (tp + fp), 1, 1::DOUBLE) OVER u AS prec0, lag(tp, 1, 0::DOUBLE) OVER u AS tp0,
+          lag(fp, 1, 0::DOUBLE) OVER u AS fp0, lead(tp) OVER u AS tp1, lead(fp) OVER u AS fp1
+        FROM cum WINDOW u AS (PARTITION BY part ORDER BY score DESC))
+"""
+_PRICE_CUT = 150_000.0
+_PRICE_ROWS = 700  # rows per bucket: every group has several buckets
+
+
+def _price_scores(spark, sf):
+    from ..sources.tables import read_table
+    return read_table(spark, sf, "orders").select(
+        (F.col("o_orderkey") % 5).alias("part"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("label"),
+        F.col("o_totalprice").cast("double").alias("score"))
+
+
+@register("metrics_by_group", _BY + f"""
+SELECT part, CAST(any_value(P) AS BIGINT) AS n_pos, CAST(any_value(N) AS BIGINT) AS n_neg,
+  {r6('sum((fp - fp0) * (tp + tp0)) / 2 / any_value(P) / any_value(N)')} AS roc_auc,
+  {r6('sum((tp - tp0) * (tp / (tp + fp) + prec0)) / 2 / any_value(P)')} AS pr_auc,
+  {r6('max(2 * tp / (tp + fp + P))')} AS best_f1,
+  {r6('min(score) FILTER (WHERE 2 * tp / (tp + fp + P) = best)')} AS best_threshold,
+  CAST(any_value(N) - sum(neg) FILTER (WHERE score >= {_PRICE_CUT}) AS BIGINT) AS tn,
+  CAST(sum(neg) FILTER (WHERE score >= {_PRICE_CUT}) AS BIGINT) AS fp,
+  CAST(any_value(P) - sum(pos) FILTER (WHERE score >= {_PRICE_CUT}) AS BIGINT) AS fn,
+  CAST(sum(pos) FILTER (WHERE score >= {_PRICE_CUT}) AS BIGINT) AS tp
+FROM (SELECT *, max(2 * tp / (tp + fp + P)) OVER (PARTITION BY part) AS best FROM pts) GROUP BY part""")
+def q_metrics_by_group(spark, sf):
+    """Areas, best F1 and confusion cells of five groups in one job (E1, E2, E5, E6, E10), over a
+    continuous score and several buckets."""
+    return group_curves.metrics_by(_price_scores(spark, sf), ["part"], _PRICE_CUT,
+                                   rows_per_bucket=_PRICE_ROWS).drop("precision", "recall", "f1")
+
+
+@register("roc_by_group", _BY + f"""
+SELECT part, {r6('score')} AS threshold, {r6('fp / N')} AS fpr, {r6('tp / P')} AS tpr FROM pts
+WHERE tp1 IS NULL OR (tp - tp0) * (fp1 - fp) <> (tp1 - tp) * (fp - fp0)
+UNION ALL SELECT DISTINCT part, NULL, 0::DOUBLE, 0::DOUBLE FROM pts""")
+def q_roc_by_group(spark, sf):
+    """Thinned ROC curves of five groups (W2): corners only."""
+    return group_curves.roc_by(_price_scores(spark, sf), ["part"], rows_per_bucket=_PRICE_ROWS)
+
+
+@register("pr_by_group", _BY + f"""
+SELECT part, {r6('score')} AS threshold, {r6('tp / (tp + fp)')} AS precision, {r6('tp / P')} AS recall FROM pts
+WHERE tp1 IS NULL OR tp <> tp0 OR tp1 <> tp
+UNION ALL SELECT DISTINCT part, NULL, 1::DOUBLE, 0::DOUBLE FROM pts""")
+def q_pr_by_group(spark, sf):
+    """Thinned precision-recall curves of five groups."""
+    return group_curves.pr_by(_price_scores(spark, sf), ["part"], rows_per_bucket=_PRICE_ROWS)
+
+
 def _confusion_sql(threshold_expr: str) -> str:
     return f"""
 , cm AS (SELECT CAST(count_if(label = 0 AND NOT (score >= {threshold_expr})) AS BIGINT) AS tn,
@@ -756,6 +816,24 @@ def q_score_psi(spark, sf):
     return stability.score_psi(fixture.scored(spark, sf))
 
 
+@register("psi_baseline", "\nUNION ALL\n".join(
+    "SELECT * FROM (" + _psi_total("drift", "SELECT side, value FROM drift" if part is None else
+                 f"SELECT side, value FROM drift WHERE side = 'expected' OR (side = 'actual' AND {where})")
+    .replace("SELECT round(psi", f"SELECT '{name}' AS batch, round(psi") + ")"
+    for name, part, where in (("whole", None, ""), ("low", 1, "value < 100"), ("rest", 2, "(value >= 100 OR value IS NULL)"))))
+def q_psi_baseline(spark, sf):
+    """Batches against a saved baseline (E8, E9, F14): two batches, and both by adding their
+    counts. The rows of the expected side are read by the fit alone."""
+    drift, path = fixture.drift(spark, sf), _shared(spark, "psi-baseline")
+    stability.PsiBaseline.fit(drift.filter("side = 'expected'")).save(spark, path)
+    kept = stability.PsiBaseline.load(spark, path)
+    batch = F.when(F.col("value") < 100, "low").otherwise("rest").alias("batch")
+    counts = cut_lineage(kept.counts_of(
+        drift.filter("side = 'actual'").select("value", batch), "value", ("batch",)))
+    return kept.compare(counts.unionByName(counts.withColumn("batch", F.lit("whole"))),
+                        ("batch",)).drop("n_rows")
+
+
 # --- feature steps (X1-X8, X10, X11) -------------------------------------------
 from ..features import transformers as X  # noqa: E402
 
