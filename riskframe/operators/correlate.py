@@ -1,30 +1,23 @@
 """Pearson correlations, pairwise-complete.
 
 ``corr_target``: pairs of every column with the target in one scan (``column_state``).
-``corr_matrix``: one pass with per-partition masked Gram matrices (numpy inside
-``mapInPandas``, one small block per partition) summed by ``groupBy(i, j)``;
-k columns cost k² accumulators regardless of rows.
+``corr_matrix``: one pass for the Gram matrix of masks, centred values and squares, summed
+in the JVM by a tree of tasks; k columns cost (3k)² / 2 accumulators regardless of rows.
 Undefined correlations (a constant column over the pairs) are NULL, never NaN
 and never an ANSI divide-by-zero error.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import HIGH_CORR_THRESHOLD
 from .column_state import column_state, corr_target_of
 
-# The Gram partial runs in executor Python workers: ship this module's code with
-# the task (by value) so executors need numpy/pandas but not this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+#: Pairs whose ranges are looked at in one aggregate.
+PAIRS_PER_SCAN = 200
 
 
 def safe_corr(a: Column | str, b: Column | str) -> Column:
@@ -45,72 +38,66 @@ def corr_target(df: DataFrame, columns: list[str], target: str = "is_bad") -> Da
     return corr_target_of(column_state(df, columns, target))
 
 
-def _gram_partition(columns: list[str], shift: np.ndarray):
-    k = len(columns)
+def gram_sums(src: DataFrame, columns: list[str], shift: list[float]) -> np.ndarray:
+    """Gram matrix of (present, value, square) of every column, 3k x 3k, summed in the JVM.
+
+    Its blocks are all sums over the pairs that both columns have: counts, sums, squares and
+    products. ``RowMatrix`` adds packed triangles by a tree of tasks; only the sum, whose size
+    depends on the columns alone, reaches the driver.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.mllib.linalg.distributed import RowMatrix
+    from pyspark.mllib.util import MLUtils
+    present = [F.col(c).isNotNull().cast("double") for c in columns]
+    value = [F.coalesce(F.col(c) - F.lit(m), F.lit(0.0)) for c, m in zip(columns, shift)]
+    rows = src.select(array_to_vector(F.array(*present, *value, *[v * v for v in value])).alias("v"))
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v"), 0, 3 * len(columns)) \
+        .computeGramianMatrix().toArray()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n, sx, sy, sxx, syy, sxy = (np.zeros((k, k)) for _ in range(6))
-        lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
-        seen = False
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            seen = True
-            x = pdf[columns].to_numpy(dtype=float)
-            m = (~np.isnan(x)).astype(float)
-            x0 = np.where(m > 0, x - shift, 0.0)
-            n += m.T @ m           # pairs with both present
-            sx += x0.T @ m         # Σ x_i over pairs (i, j)
-            sy += m.T @ x0         # Σ x_j over pairs (i, j)
-            sxx += (x0 * x0).T @ m
-            syy += m.T @ (x0 * x0)
-            sxy += x0.T @ x0
-            for j in range(k):     # range of every x_i over the rows that have x_j
-                has = x[m[:, j] > 0]
-                if len(has):
-                    lo[:, j] = np.fmin(lo[:, j], np.fmin.reduce(has, axis=0))
-                    hi[:, j] = np.fmax(hi[:, j], np.fmax.reduce(has, axis=0))
-        if not seen:
-            return
-        ii, jj = np.meshgrid(np.arange(k), np.arange(k), indexing="ij")
-        yield pd.DataFrame({"i": ii.ravel().astype("int32"), "j": jj.ravel().astype("int32"),
-                            "n": n.ravel(), "sx": sx.ravel(), "sy": sy.ravel(),
-                            "sxx": sxx.ravel(), "syy": syy.ravel(), "sxy": sxy.ravel(),
-                            "lo_x": lo.ravel(), "hi_x": hi.ravel(), "lo_y": lo.T.ravel(),
-                            "hi_y": hi.T.ravel()})
-    return run
+
+def _constant_pairs(src: DataFrame, columns: list[str], doubtful: np.ndarray) -> set[tuple[int, int]]:
+    """Of the doubtful pairs (i, j): those where column i has one value over the rows with j."""
+    pairs = [(int(i), int(j)) for i, j in zip(*np.nonzero(doubtful))]
+    out = set()
+    for at in range(0, len(pairs), PAIRS_PER_SCAN):
+        part = pairs[at:at + PAIRS_PER_SCAN]
+        both = [F.when(F.col(columns[j]).isNotNull(), F.col(columns[i])) for i, j in part]
+        r = src.agg(*[(F.min(x) >= F.max(x)).alias(str(n)) for n, x in enumerate(both)]).first()
+        out |= {pair for n, pair in enumerate(part) if r[n]}
+    return out
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Long (col_x, col_y, corr) over all ordered pairs, pairwise-complete."""
+    """Long (col_x, col_y, corr) over all ordered pairs, pairwise-complete.
+
+    One scan for means and ranges, one for the Gram matrix of centred values; pairs whose
+    variance drowns in the rounding of their squares are looked at once more for their range.
+    """
     k = len(columns)
-    # Shift by the column mean (by the exact value for a constant column, so its
-    # centred values are exactly 0 and its correlations come out undefined).
-    from .ordered import unpivot_values
-    st = {r["column"]: r for r in unpivot_values(df, columns).groupBy("column").agg(
-        F.avg("value").alias("m"), F.min("value").alias("a"), F.max("value").alias("b")).collect()}
-    shift = np.array([((st[c]["a"] if st[c]["a"] == st[c]["b"] else st[c]["m"]) if c in st else 0.0)
-                      for c in columns], dtype=float)
-    src = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    sums, lows, highs = ["n", "sx", "sy", "sxx", "syy", "sxy"], ["lo_x", "lo_y"], ["hi_x", "hi_y"]
-    parts = src.mapInPandas(_gram_partition(columns, shift), "i int, j int, " + ", ".join(
-        f"{c} double" for c in [*sums, "lo_x", "hi_x", "lo_y", "hi_y"]))
-    m = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums],
-                                    *[F.min(c).alias(c) for c in lows],
-                                    *[F.max(c).alias(c) for c in highs])
-    n, sx, sy, sxx, syy, sxy = (F.col(c) for c in sums)
+    src = df.select(*[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(
+        f"c{i}") for i, c in enumerate(columns)])
+    names = [f"c{i}" for i in range(k)]
+    # Centre by the mean (a constant column by its value, so that it becomes exactly 0).
+    st = {r["column"]: r for r in column_state(src, names).select("column", "mean", "mn", "mx")
+          .collect()}
+    shift = [0.0 if c not in st or st[c]["mean"] is None else
+             st[c]["mn"] if st[c]["mn"] == st[c]["mx"] else st[c]["mean"] for c in names]
+    g = gram_sums(src, names, shift) if k else np.zeros((0, 0))
+    n, sx, sxx, sxy = g[:k, :k], g[k:2 * k, :k], g[2 * k:, :k], g[k:2 * k, k:2 * k]
     vx = n * sxx - sx * sx
-    vy = n * syy - sy * sy
-    cov = n * sxy - sx * sy
-    # Constant over the pairs is read from the pairs' range: sums need not cancel exactly.
-    constant = (F.col("lo_x") >= F.col("hi_x")) | (F.col("lo_y") >= F.col("hi_y"))
-    r = F.when((n < 2) | constant | (vx <= 0) | (vy <= 0), F.lit(None).cast("double")) \
-        .otherwise(cov / F.sqrt(vx * vy))
-    r = F.when(r > 1.0, F.lit(1.0)).when(r < -1.0, F.lit(-1.0)).otherwise(r)
-    names = F.array(*[F.lit(c) for c in columns])
-    return m.select(F.element_at(names, F.col("i") + 1).alias("col_x"),
-                    F.element_at(names, F.col("j") + 1).alias("col_y"),
-                    r.alias("corr")).orderBy("col_x", "col_y")
+    drowned = (n > 1) & (vx <= 1e-9 * n * sxx) & (sxx > 0)
+    constant = (vx <= 0) | (n < 2)
+    for i, j in _constant_pairs(src, names, drowned):
+        constant[i, j] = True
+    cov = n * sxy - sx * sx.T
+    rows = []
+    for i in range(k):
+        for j in range(k):
+            bad = constant[i, j] or constant[j, i]
+            r = None if bad else cov[i, j] / (np.sqrt(vx[i, j]) * np.sqrt(vx[j, i]))
+            rows.append((columns[i], columns[j], None if r is None else float(np.clip(r, -1, 1))))
+    return df.sparkSession.createDataFrame(
+        rows, "col_x string, col_y string, corr double").orderBy("col_x", "col_y")
 
 
 def high_corr_pairs(df: DataFrame, columns: list[str], threshold: float = HIGH_CORR_THRESHOLD
