@@ -1086,8 +1086,8 @@ def q_yeo_johnson_fit(spark, sf):
 # --- models, scoring, persistence (X9, X12, L1-L5, E9, E10, S6, S7, B1-B4) -------
 # Every query fits its own model, so its time is its own. The learners are the published ones
 # where the model itself is asked about; queries about scoring use SCORING_ROUNDS rounds.
-SCORING_ROUNDS = 10
-TUNED_ROUNDS = 60  # of the published 897, which `tuned_booster()` has as its limit
+SCORING_ROUNDS = 5
+TUNED_ROUNDS = 40  # of the published 897, which `tuned_booster()` has as its limit
 # The label follows the features: a model below its floor has learnt little. The forest, whose
 # trees see few features each, is the weakest on the smallest tables.
 AUC_FLOOR = {"gbt": 0.9, "tuned": 0.9, "second": 0.75}
