@@ -93,3 +93,30 @@ def test_score_records_equal_frame(spark, fitted):
     assert [r[1:] for r in from_records] == [r[1:] for r in from_frame]
     with pytest.raises(TypeError):
         sc.score("not a frame")
+
+
+def test_learner_gets_rows_in_few_parts(spark):
+    """What a join leaves in many small parts must not cost a task per part in every round."""
+    from pyspark.ml import Estimator
+    parts = []
+
+    class Looking(Estimator):
+        def _fit(self, df):
+            parts.append((df.rdd.getNumPartitions(), df.count()))
+            return M.NewtonBooster(featuresCol=M.FEATURES_COL, labelCol=M.LABEL_COL,
+                                   maxIter=1).fit(df)
+
+    train = spark.range(400).selectExpr(
+        "id * 1.5 AS a", "id % 7 AS b", "CAST(id % 2 AS int) AS is_bad").repartition(50)
+    assert train.rdd.getNumPartitions() == 50
+    M.fit_pipeline(train, Looking())
+    assert parts == [(1, 400)]
+    assert not train.is_cached
+
+
+def test_rows_per_task_bound_the_parts(spark):
+    from riskframe.session import ROWS_PER_TASK, in_few_tasks
+    df = spark.range(100).repartition(9)
+    got = [in_few_tasks(df, n).rdd.getNumPartitions()
+           for n in (0, 100, ROWS_PER_TASK + 1, 10 ** 9)]
+    assert got == [1, 1, 2, 9] and in_few_tasks(df, 100).count() == 100
