@@ -251,3 +251,48 @@ def test_derivatives_of_the_map(spark):
         assert r.d1 == pytest.approx((y(r.lam + e) - y(r.lam - e)) / (2 * e), rel=1e-5, abs=1e-11)
         assert r.d2 == pytest.approx((y(r.lam + e) - 2 * y(r.lam) + y(r.lam - e)) / e ** 2,
                                      rel=1e-3, abs=1e-6 * max(1, abs(r.y)))
+
+
+def test_likelihood_from_cells_equals_the_scan(spark):
+    """Mean, spread and slopes at any λ follow from the cells, for signs, offsets and gaps."""
+    rng = np.random.default_rng(12)
+    n = 3000
+    x = {"signs": rng.normal(0, 40, n), "heavy": rng.lognormal(8, 1.5, n),
+         "far": 1e6 + rng.normal(0, 1, n), "negative": -rng.lognormal(1, 1, n),
+         "zeros": np.where(rng.random(n) < 0.8, 0.0, rng.exponential(3, n)),
+         "left": 100.0 - 60.0 / (1 + rng.integers(0, 41, n))}
+    df = frame(spark, **x)
+    cells = X._power_cells(df, list(x))
+    points = {c: [-2.0, 0.0, 0.3, 1.0, 2.0, 5.5] for c in x}
+    want = {r["column"]: r for r in X._slopes(df, points, True).collect()}
+    for c in x:
+        got, w = cells[c].slopes(points[c]), want[c]
+        assert got["n"] == w["n"] and cells[c].reaches(points[c])
+        assert [got["t"], got["s"]] == pytest.approx([w["t"], w["s"]], rel=1e-9)
+        for g, a in zip(got["at"], w["at"]):
+            assert g["mean"] == pytest.approx(a["mean"], rel=1e-9)
+            if a["var"] < (1e-6 * a["mean"]) ** 2:
+                continue  # the scan's own sums cancel here
+            scale = math.sqrt(a["v1"] * a["var"])
+            assert g["var"] == pytest.approx(a["var"], rel=1e-7)
+            assert g["v1"] == pytest.approx(a["v1"], rel=1e-7)
+            assert g["c1"] == pytest.approx(a["c1"], abs=1e-7 * scale)
+            assert g["c2"] == pytest.approx(a["c2"], rel=1e-6)
+
+
+def test_lambda_search_scans_twice_and_more_only_beyond_the_cells(spark, monkeypatch):
+    rng = np.random.default_rng(13)
+    n = 2000
+    x = {"heavy": rng.lognormal(8, 1.5, n), "left": 100.0 - 60.0 / (1 + rng.integers(0, 41, n)),
+         "flat": np.full(n, 7.0)}
+    lams, scans = X.search_lambdas(frame(spark, **x), list(x))
+    assert scans == 2 and lams[2] == 1.0
+    # Most values in one cell: the best λ lies where only scans reach.
+    wide = {"x": np.append(rng.exponential(1e-6, n), 1e4)}
+    got, scans = X.search_lambdas(frame(spark, **wide), ["x"])
+    assert scans > 2
+    # An infinite value: no likelihood, as before.
+    assert X.search_lambdas(frame(spark, x=np.append(rng.random(50), np.inf)), ["x"])[0] == [1.0]
+    monkeypatch.setattr(X, "_power_cells", lambda df, cols: {})  # scans alone
+    assert X.search_lambdas(frame(spark, **x), list(x))[0] == pytest.approx(lams, abs=1e-4)
+    assert X.search_lambdas(frame(spark, **wide), ["x"])[0] == pytest.approx(got, rel=1e-4)
