@@ -1,5 +1,7 @@
 """Fits on large tables: what is shared, and the booster's sums per node, feature and bin."""
 
+import threading
+
 import numpy as np
 import pyarrow as pa
 
@@ -26,6 +28,23 @@ def test_two_learners_share_one_preprocessing(spark, monkeypatch):
     assert models["a"].stages[-1].coefficients != models["b"].stages[-1].coefficients
 
 
+def test_learners_run_side_by_side_on_rows_without_lineage(spark):
+    both, plans = threading.Barrier(2, timeout=120), []
+
+    class Learner(LogisticRegression):
+        def fit(self, df):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+            both.wait()   # breaks unless the other learner is at work
+            return super().fit(df)
+
+    train, _ = catalog._train_test(spark, SF_SMALL)
+    learner = {k: Learner(featuresCol="features", labelCol=M.LABEL_COL, weightCol=M.WEIGHT_COL,
+                          maxIter=n) for k, n in (("a", 1), ("b", 2))}
+    models, _ = M.fit_pipelines(train, learner)
+    assert models["a"].stages[-1].coefficients != models["b"].stages[-1].coefficients
+    assert len(plans) == 2 and not any("Join" in p or "InMemory" in p for p in plans)
+
+
 def test_loans_are_joined_once_and_let_go(spark):
     rows = catalog._test_rows(spark, SF_SMALL)
     def joins():
