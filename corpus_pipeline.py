@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm import exact_dedup, neardup, packing, toxicity
 from riskframe.llm.queries import TOXIC_FROM, WORD_BPE
-from riskframe.llm.tables import Scratch, shared_folder
+from riskframe.llm.tables import Scratch, shared_folder, short_batches
 from riskframe.sources.tables import read_table
 
 
@@ -67,7 +67,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         with scratch:
             out = stage(spark, docs, sf_dir)
         path = shared_folder(spark, f"pipeline-{name}")
-        out.write.parquet(path)
+        with short_batches(spark):
+            out.write.parquet(path)
         scratch.delete()
         docs = spark.read.schema(out.schema).parquet(path)
     return docs

@@ -22,12 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from riskframe.llm.tables import byte_blocks, map_arrow, text_or_empty
+from riskframe.llm.tables import byte_blocks, map_arrow, short_batches, text_or_empty
 from riskframe.llm.words import Words, counted, mix
 
 BITS = 18
 PREFIXES = (4, 6)  # bytes of a word's beginning
+BLOCK_CHARS = 1 << 18  # a block's numbers take some sixty bytes a character
 START = 0.3  # standard deviation of the factors before the fit
 
 
@@ -179,7 +181,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             bodies = b.column("body").to_pylist()
-            for i, j in byte_blocks(bodies):
+            for i, j in byte_blocks(bodies, BLOCK_CHARS):
                 doc, bucket, x = terms(bodies[i:j], bits)
                 cut = np.searchsorted(doc, np.arange(j - i + 1))
                 yield pa.RecordBatch.from_arrays(
@@ -190,8 +192,9 @@ def fit_on(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     ["doc_id", "label", "bucket", "x"])
 
     kinds = {f.name: f.dataType.simpleString() for f in texts.schema}
-    got = map_arrow(texts, run, f"doc_id {kinds['doc_id']}, label {kinds['label']}, "
-                                "bucket array<int>, x array<float>").toArrow()
+    with short_batches(docs.sparkSession):
+        got = map_arrow(texts, run, f"doc_id {kinds['doc_id']}, label {kinds['label']}, "
+                                    "bucket array<int>, x array<float>").toArrow()
     bucket, x = got.column("bucket").combine_chunks(), got.column("x").combine_chunks()
     cut = bucket.offsets.to_numpy() if len(got) else np.zeros(1, int)
     flat_b, flat_x = bucket.values.to_numpy(), x.values.to_numpy()
@@ -212,13 +215,18 @@ def score(docs: DataFrame, model: FactorizationMachine, columns: list[str],
     if score_col in columns:
         raise ValueError(f"{score_col} names an input column; give another score_col")
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # A text that is among the columns goes to the workers once, inside its row.
+    at = next((i for i, c in enumerate(columns) if c == text_col
+               and docs.select(F.col(f"`{c}`")).schema[0].dataType == StringType()), None)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                       text_or_empty(text_col).alias("body"))
+                       *([] if at is not None else [text_or_empty(text_col).alias("body")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bodies = b.column("body").to_pylist()
-            scores = [shared.value.score(bodies[i:j]) for i, j in byte_blocks(bodies)]
+            texts = b.column("body") if at is None else b.column("row").field(at)
+            bodies = texts.fill_null("").to_pylist()
+            scores = [shared.value.score(bodies[i:j])
+                      for i, j in byte_blocks(bodies, BLOCK_CHARS)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array(np.concatenate(scores) if scores else [],
                                            pa.float64())], ["row", "score"])

@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-_SPAN = 1 << 20
+_SPAN = 1 << 18
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
 _POWERS: list[np.ndarray] = []
