@@ -85,7 +85,8 @@ def kde_cells(df: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
         F.count(F.lit(1)).alias("n"), F.min("value").alias("mn"), F.max("value").alias("mx"),
         F.stddev_samp("value").alias("sd"))
         .withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
-        .filter("h > 0"))
+        # Merging the moments of parts can leave a constant column a spread of rounding.
+        .filter("mn < mx AND h > 0"))
     width = F.lit(KDE_CELL) * F.col("h")
     placed = (long.join(bounded_broadcast(st.select("column", "mn", "h"), len(columns)), "column")
               .withColumn("cell", F.floor((F.col("value") - F.col("mn")) / width))

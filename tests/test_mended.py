@@ -124,6 +124,17 @@ def test_kde_series_equals_the_direct_sum(spark, kind):
     assert "Generate explode" not in plan
 
 
+def test_kde_of_a_constant_column_whose_merged_spread_is_not_zero(spark):
+    # 1/49*49 is not 1: merging moves the mean of the first 49 rows, not that of the others.
+    df = spark.range(0, 98, 1, 2).select(F.lit(1.0).alias("k"), F.col("id").cast("double").alias("x"))
+    assert df.agg(F.stddev_samp("k")).first()[0] > 0
+    got = distribution.kde_curve(df, ["k", "x"]).collect()
+    want = distribution.kde_curve(df, ["x"]).collect()
+    assert [r[:3] for r in got] == [r[:3] for r in want] and len(got) == 200
+    assert [r.density for r in got] == pytest.approx([r.density for r in want], rel=1e-12)
+    assert distribution.kde_curve(df, ["k"]).collect() == []
+
+
 @pytest.mark.parametrize("kind", ["zero_inflated", "heavy", "bell"])
 def test_histogram_equals_numpy_auto(spark, kind):
     rng = np.random.default_rng(2)
